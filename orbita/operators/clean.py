@@ -102,15 +102,23 @@ def check_imputable(masked: DataFrame, contract: Contract = BASE_CONTRACT) -> No
         raise DataQualityError(f"cannot impute columns without valid values: {empty}")
 
 
-def clean(df: DataFrame, contract: Contract = BASE_CONTRACT, ids_unique: bool = False) -> DataFrame:
+def masked(df: DataFrame, contract: Contract = BASE_CONTRACT, ids_unique: bool = False) -> DataFrame:
+    """dedup -> coercion -> +-inf to null -> out-of-domain to null."""
+    require_columns(df, contract)
+    base = df.select(*contract.columns) if ids_unique else dedup_exact(df, contract)
+    return mask_domain(coerce_numeric(base, contract), contract)
+
+
+def clean(df: DataFrame, contract: Contract = BASE_CONTRACT, ids_unique: bool = False,
+          border=lambda d: d) -> DataFrame:
     """Lazy composition of the cleaning policies (gates are separate actions).
 
     ``ids_unique``: the caller proved id uniqueness (validation + one-to-one
     join), so exact duplicates are impossible and the dedup shuffle is skipped.
+    ``border`` materializes the masked table, which both the medians and the
+    fill read.
     """
-    require_columns(df, contract)
-    base = df.select(*contract.columns) if ids_unique else dedup_exact(df, contract)
-    return impute_median(mask_domain(coerce_numeric(base, contract), contract), contract)
+    return impute_median(border(masked(df, contract, ids_unique)), contract)
 
 
 def stage_counts(coerced: DataFrame, contract: Contract = BASE_CONTRACT) -> DataFrame:
@@ -160,6 +168,10 @@ def cleaning_report(base: DataFrame, contract: Contract = BASE_CONTRACT, ids_uni
     deduped = base.select(*contract.columns) if ids_unique else dedup_exact(base, contract)
     counts = stage_counts(coerce_numeric(deduped, contract), contract)
     cleaned = clean(base, contract, ids_unique)
+    return report_with_outliers(counts, cleaned, contract)
+
+
+def report_with_outliers(counts: DataFrame, cleaned: DataFrame, contract: Contract = BASE_CONTRACT) -> DataFrame:
     return counts.join(outliers_iqr(cleaned, contract.value_columns), "column_name")
 
 

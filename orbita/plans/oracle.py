@@ -183,3 +183,83 @@ GROUP BY g.nivel_engagement, t.valor_cliente""")
 def with_chain(final: str) -> str:
     """Prefix ``final`` with the whole CTE chain (unused CTEs are not evaluated)."""
     return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in CTES) + "\n" + final
+
+
+# ---- validation oracles -----------------------------------------------------------
+
+def source_issues_sql(table: str, required: list[str], actual: list[str], source: str,
+                      text_cols: set[str], float_cols: set[str]) -> str:
+    """Issue rows of the pre-join source checks, one SELECT ... HAVING per check."""
+    stage = f"estructura_{source}"
+    parts = []
+
+    def add(code, sev, col, n, cond):
+        c = "NULL" if col is None else f"'{col}'"
+        parts.append(f"SELECT '{stage}' AS stage, '{code}' AS code, '{sev}' AS severity, CAST({c} AS VARCHAR) AS column_name,"
+                     f" CAST({n} AS BIGINT) AS n FROM {table} HAVING {cond}")
+
+    add("EMPTY_SOURCE", "error", None, "count(*)", "count(*) = 0")
+    missing = sorted(set(required) - set(actual))
+    extra = sorted(set(actual) - set(required))
+    if missing:
+        add("MISSING_REQUIRED_COLUMNS", "error", ",".join(missing), len(missing), "count(*) > 0")
+    if extra:
+        add("UNEXPECTED_COLUMNS", "warning", ",".join(extra), len(extra), "count(*) > 0")
+    if ID in actual:
+        i = f"TRY_CAST({ID} AS DOUBLE)"
+        inv = f"count_if({i} IS NULL OR isnan({i}))"
+        add("INVALID_CUSTOMER_ID", "error", ID, inv, f"count(*) > 0 AND {inv} > 0")
+        nonpos = f"count_if({i} <= 0)"
+        add("NON_POSITIVE_CUSTOMER_ID", "error", ID, nonpos, f"count(*) > 0 AND {nonpos} > 0")
+        dup = f"(count({i}) - count(DISTINCT {i}))"
+        add("DUPLICATED_CUSTOMER_ID", "error", ID, dup, f"count(*) > 0 AND {dup} > 0")
+        for c in sorted(set(required) & set(actual)):
+            if c == ID:
+                continue
+            nulls = f"count_if({c} IS NULL)"
+            add("NULL_VALUES", "warning", c, nulls, f"count(*) > 0 AND {nulls} > 0")
+            if c in text_cols:
+                bad = f"count_if({c} IS NOT NULL AND TRY_CAST({c} AS DOUBLE) IS NULL)"
+                add("NON_NUMERIC_VALUES", "warning", c, bad, f"count(*) > 0 AND {bad} > 0")
+                add("CONVERTIBLE_NUMERIC_TYPE", "warning", c, 0, f"count(*) > 0 AND {bad} = 0")
+            if c in text_cols or c in float_cols:
+                inf = f"count_if(isinf(TRY_CAST({c} AS DOUBLE)))"
+                add("INFINITE_VALUES", "warning", c, inf, f"count(*) > 0 AND {inf} > 0")
+    return "\nUNION ALL\n".join(parts)
+
+
+def clean_issues_sql(table: str) -> str:
+    """Issue rows of the post-clean checks (all columns present, official order)."""
+    stage = "dataset_limpio"
+    parts = []
+
+    def add(code, col, n, cond):
+        c = "NULL" if col is None else f"'{col}'"
+        parts.append(f"SELECT '{stage}' AS stage, '{code}' AS code, 'error' AS severity, CAST({c} AS VARCHAR) AS column_name,"
+                     f" CAST({n} AS BIGINT) AS n FROM {table} HAVING {cond}")
+
+    add("EMPTY_CLEAN_DATASET", None, "count(*)", "count(*) = 0")
+    i = f"TRY_CAST({ID} AS DOUBLE)"
+    add("INVALID_CLEAN_CUSTOMER_ID", ID, f"count_if({i} IS NULL OR isnan({i}))", f"count(*) > 0 AND count_if({i} IS NULL OR isnan({i})) > 0")
+    dup = f"(count({i}) - count(DISTINCT {i}))"
+    add("DUPLICATED_CLEAN_CUSTOMER_ID", ID, dup, f"count(*) > 0 AND {dup} > 0")
+    for c in BASE_COLUMNS:
+        x = f"TRY_CAST({c} AS DOUBLE)"
+        bad = f"count_if({x} IS NULL OR isnan({x}))"
+        ok = f"count(*) > 0 AND {bad} = 0"
+        add("NULL_OR_NON_NUMERIC_AFTER_CLEANING", c, bad, f"count(*) > 0 AND {bad} > 0")
+        add("INFINITE_AFTER_CLEANING", c, f"count_if(isinf({x}))", f"{ok} AND count_if(isinf({x})) > 0")
+        lo, hi = RANGES.get(c, (None, None))
+        if lo is not None:
+            add("VALUE_BELOW_MINIMUM", c, f"count_if({x} < {d(lo)})", f"{ok} AND count_if({x} < {d(lo)}) > 0")
+        if hi is not None:
+            add("VALUE_ABOVE_MAXIMUM", c, f"count_if({x} > {d(hi)})", f"{ok} AND count_if({x} > {d(hi)}) > 0")
+        if c in INTEGER_COLUMNS:
+            # fmod keeps the sign like Spark's %, and fmod(+-inf, 1) is NaN (counted, as in Spark)
+            ni = f"count_if(NOT (fmod({x}, {d(1)}) = 0))"
+            add("NON_INTEGER_VALUE", c, ni, f"{ok} AND {ni} > 0")
+    return "\nUNION ALL\n".join(parts)
+
+
+cte("events_src", "SELECT user_id AS id_cliente, count(*) AS eventos, sum(value) AS valor_total FROM events GROUP BY user_id")
+cte("lineitem_keyed", "SELECT l_orderkey AS id_cliente, l_quantity AS horas_consumo_mensual FROM lineitem")

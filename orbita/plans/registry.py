@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..contracts import BASE_CONTRACT
+from ..contracts import BASE_COLUMNS, BASE_CONTRACT
 from ..operators import clean as C
 from ..operators import features as FE
 from ..operators import integrate as I
@@ -39,7 +40,8 @@ def base(spark, sf) -> DataFrame:
 def clean_base(spark, sf) -> DataFrame:
     # Ids are unique on both sides (proven by validation), so exact duplicates
     # cannot exist after the one-to-one join and the dedup shuffle is skipped.
-    return S.stage(spark, sf, "clean", lambda: C.clean(base(spark, sf), BASE_CONTRACT, ids_unique=True))
+    return S.stage(spark, sf, "clean", lambda: C.clean(base(spark, sf), BASE_CONTRACT, ids_unique=True,
+                                                       border=S.materialize))
 
 
 def analytic(spark, sf) -> DataFrame:
@@ -66,3 +68,299 @@ def register(name: str, sql: str | None = None):
 
 
 register("kpis_grid", O.with_chain("SELECT * FROM kpis"))(kpis)
+
+# ---- sources and validation ---------------------------------------------------------
+
+from ..contracts import BEHAVIOUR_COLUMNS, PROFILE_COLUMNS, ID  # noqa: E402
+from ..operators import validate as V  # noqa: E402
+
+_B_TEXT, _B_FLOAT = {"tiempo_promedio_sesion_min"}, {"horas_consumo_mensual", "gasto_mensual",
+                                                       "porcentaje_finalizacion", "porcentaje_uso_promociones"}
+_P_FLOAT = {"porcentaje_uso_app_movil", "distancia_promedio_red_km"}
+_P_ACTUAL = PROFILE_COLUMNS + ["segmento_mercado"]
+
+
+@register("validate_source", O.with_chain(O.source_issues_sql(
+    "behaviour_src", BEHAVIOUR_COLUMNS, BEHAVIOUR_COLUMNS, V.BEHAVIOUR_SOURCE, _B_TEXT, _B_FLOAT)))
+def q_validate_source(spark, sf):
+    return V.validate_source(tpch.behaviour_source(spark, sf), BEHAVIOUR_COLUMNS, V.BEHAVIOUR_SOURCE)
+
+
+@register("validate_profile", O.with_chain(O.source_issues_sql(
+    "profile_src", PROFILE_COLUMNS, _P_ACTUAL, V.PROFILE_SOURCE, set(), _P_FLOAT)))
+def q_validate_profile(spark, sf):
+    return V.validate_source(tpch.profile_source(spark, sf), PROFILE_COLUMNS, V.PROFILE_SOURCE)
+
+
+_B_NO_SPEND = [c for c in BEHAVIOUR_COLUMNS if c != "gasto_mensual"]
+
+
+@register("validate_schema", O.with_chain(O.source_issues_sql(
+    "(SELECT * EXCLUDE (gasto_mensual) FROM behaviour_src)", BEHAVIOUR_COLUMNS, _B_NO_SPEND, V.BEHAVIOUR_SOURCE,
+    _B_TEXT, _B_FLOAT - {"gasto_mensual"})))
+def q_validate_schema(spark, sf):
+    """Mutation test on real rows: the behaviour source without its spend column."""
+    return V.validate_source(tpch.behaviour_source(spark, sf).drop("gasto_mensual"), BEHAVIOUR_COLUMNS,
+                             V.BEHAVIOUR_SOURCE)
+
+
+@register("validate_ids", O.with_chain(
+    O.source_issues_sql("events_src", [ID], [ID, "eventos", "valor_total"], "eventos", set(), set())
+    + "\nUNION ALL\n"
+    + O.source_issues_sql("lineitem_keyed", [ID], [ID, "horas_consumo_mensual"], "lineitem", set(), set())))
+def q_validate_ids(spark, sf):
+    """Id checks on sources with real id problems: events (id 0) and lineitem keyed by order (duplicates)."""
+    a = V.validate_source(tpch.events_source(spark, sf), [ID], "eventos")
+    b = V.validate_source(tpch.lineitem_keyed(spark, sf), [ID], "lineitem")
+    return a.unionByName(b)
+
+
+@register("id_compat", O.with_chain("""
+SELECT count(l.id) AS ids_izquierda, count(r.id) AS ids_derecha,
+       count_if(l.id IS NOT NULL AND r.id IS NOT NULL) AS ids_compartidos,
+       count_if(r.id IS NULL) AS ids_solo_izquierda, count_if(l.id IS NULL) AS ids_solo_derecha
+FROM (SELECT DISTINCT CAST(id_cliente AS DOUBLE) AS id FROM events_src) l
+FULL OUTER JOIN (SELECT DISTINCT CAST(id_cliente AS DOUBLE) AS id FROM profile_src) r ON l.id = r.id"""))
+def q_id_compat(spark, sf):
+    return V.id_compat(tpch.events_source(spark, sf), tpch.profile_source(spark, sf))
+
+
+@register("ids_only_left", O.with_chain("""
+SELECT DISTINCT CAST(id_cliente AS DOUBLE) AS id_cliente FROM profile_src
+WHERE CAST(id_cliente AS DOUBLE) NOT IN (SELECT CAST(id_cliente AS DOUBLE) FROM events_src)
+ORDER BY id_cliente LIMIT 10"""))
+def q_ids_only_left(spark, sf):
+    """Top-10 sample of profile ids without events (the sample is the feature)."""
+    return V.ids_only_left(tpch.profile_source(spark, sf), tpch.events_source(spark, sf))
+
+
+def _compat_sql(left: str, right: str) -> str:
+    return f"""
+SELECT 'compatibilidad_ids' AS stage, 'CUSTOMER_ID_MISMATCH' AS code, 'error' AS severity,
+       CAST('id_cliente' AS VARCHAR) AS column_name, CAST(count_if(l.id IS NULL) + count_if(r.id IS NULL) AS BIGINT) AS n
+FROM (SELECT DISTINCT TRY_CAST(id_cliente AS DOUBLE) AS id FROM {left} WHERE TRY_CAST(id_cliente AS DOUBLE) IS NOT NULL) l
+FULL OUTER JOIN (SELECT DISTINCT TRY_CAST(id_cliente AS DOUBLE) AS id FROM {right}
+                 WHERE TRY_CAST(id_cliente AS DOUBLE) IS NOT NULL) r ON l.id = r.id
+HAVING count_if(l.id IS NULL) + count_if(r.id IS NULL) > 0"""
+
+
+_SRC_ISSUES = ("(" + O.source_issues_sql("behaviour_src", BEHAVIOUR_COLUMNS, BEHAVIOUR_COLUMNS, V.BEHAVIOUR_SOURCE,
+                                         _B_TEXT, _B_FLOAT)
+               + "\nUNION ALL\n" + O.source_issues_sql("profile_src", PROFILE_COLUMNS, _P_ACTUAL, V.PROFILE_SOURCE,
+                                                       set(), _P_FLOAT) + ")")
+
+
+@register("validate_sources", O.with_chain(f"""
+SELECT * FROM {_SRC_ISSUES} s
+UNION ALL
+SELECT * FROM ({_compat_sql('behaviour_src', 'profile_src')}) c
+WHERE (SELECT count(*) FROM {_SRC_ISSUES} x WHERE x.severity = 'error' AND x.code IN
+       ('INVALID_CUSTOMER_ID', 'NON_POSITIVE_CUSTOMER_ID', 'DUPLICATED_CUSTOMER_ID', 'MISSING_STREAMING_ID',
+        'MISSING_PROFILE_ID')) = 0"""))
+def q_validate_sources(spark, sf):
+    """Consolidated report on the unrestricted pair (at sf0.1 one customer has no orders)."""
+    return V.validate_sources(tpch.behaviour_source(spark, sf), tpch.profile_source(spark, sf))
+
+
+# ---- integration ---------------------------------------------------------------------
+
+@register("integrate", O.with_chain("SELECT * FROM base_raw"))
+def q_integrate(spark, sf):
+    return base(spark, sf)
+
+
+@register("integration_meta", O.with_chain("""
+SELECT (SELECT count(*) FROM behaviour_src) AS filas_streaming,
+       (SELECT count(DISTINCT id_cliente) FROM behaviour_src) AS ids_streaming,
+       (SELECT count(*) FROM profile_bound) AS filas_perfil,
+       (SELECT count(DISTINCT id_cliente) FROM profile_bound) AS ids_perfil,
+       (SELECT count(*) FROM base_raw) AS filas_integradas,
+       'segmento_mercado' AS columnas_descartadas, 'inner' AS tipo_join, 'one_to_one' AS cardinalidad"""))
+def q_integration_meta(spark, sf):
+    b, p = sources(spark, sf)
+    res = I.join_one_to_one(b, p)
+    return I.integration_meta(b, p, res.base, res.discarded_columns)
+
+
+# ---- cleaning -------------------------------------------------------------------------
+
+from ..operators import distribution as D  # noqa: E402
+
+
+@register("dedup_exact", O.with_chain(
+    "SELECT DISTINCT user_id + 1 AS id_cliente, event_type, value FROM events"))
+def q_dedup_exact(spark, sf):
+    """Exact-duplicate removal on events (user, type, value) - natural duplicates."""
+    from ..contracts import Contract
+    ev = tpch.read_table(spark, sf, "events").select((F.col("user_id") + 1).alias(ID), "event_type", "value")
+    return C.dedup_exact(ev, Contract(columns=(ID, "event_type", "value")))
+
+
+@register("id_gate", O.with_chain("""
+SELECT count_if(TRY_CAST(id_cliente AS DOUBLE) IS NULL) AS ids_invalidos,
+       count_if(fmod(TRY_CAST(id_cliente AS DOUBLE), 1) <> 0) AS ids_no_enteros,
+       count_if(TRY_CAST(id_cliente AS DOUBLE) <= 0) AS ids_no_positivos,
+       count(id_cliente) - count(DISTINCT id_cliente) AS ids_duplicados
+FROM events_src"""))
+def q_id_gate(spark, sf):
+    return C.id_gate_counts(tpch.events_source(spark, sf))
+
+
+@register("coerce_numeric", O.with_chain("SELECT * FROM coerced"))
+def q_coerce(spark, sf):
+    return C.coerce_numeric(base(spark, sf))
+
+
+@register("mask_domain", O.with_chain("SELECT * FROM masked"))
+def q_mask(spark, sf):
+    return C.mask_domain(C.coerce_numeric(base(spark, sf)))
+
+
+@register("column_medians", O.with_chain(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {c} AS value FROM medians" for c in O.VALUE_COLUMNS)))
+def q_medians(spark, sf):
+    return C.column_medians(C.mask_domain(C.coerce_numeric(base(spark, sf))), BASE_CONTRACT.value_columns)
+
+
+@register("impute_median", O.with_chain("SELECT * FROM clean"))
+def q_clean(spark, sf):
+    return clean_base(spark, sf)
+
+
+def _stage_counts_sql() -> str:
+    parts = []
+    for c in O.VALUE_COLUMNS:
+        ood = O._out_of_domain(c)
+        parts.append(f"SELECT '{c}' AS column_name, count_if({c} IS NULL) AS nulos_antes, "
+                     f"count_if(coalesce({ood}, FALSE)) AS valores_fuera_rango, "
+                     f"count_if({c} IS NULL OR coalesce({ood}, FALSE)) AS valores_imputados FROM coerced")
+    return " UNION ALL ".join(parts)
+
+
+def _outliers_sql(table: str) -> str:
+    parts = []
+    for c in O.VALUE_COLUMNS:
+        q1, q3 = O.quantile_sql(c, table, 0.25), O.quantile_sql(c, table, 0.75)
+        parts.append(f"SELECT '{c}' AS column_name, (SELECT CASE WHEN q3 - q1 = 0 THEN 0 ELSE "
+                     f"count_if({c} < q1 - {O.d(1.5)} * (q3 - q1) OR {c} > q3 + {O.d(1.5)} * (q3 - q1)) END "
+                     f"FROM {table}, (SELECT {q1} AS q1, {q3} AS q3) qq GROUP BY q1, q3) AS outliers_iqr")
+    return " UNION ALL ".join(parts)
+
+
+@register("outliers_iqr", O.with_chain(_outliers_sql("clean")))
+def q_outliers(spark, sf):
+    return C.outliers_iqr(clean_base(spark, sf), BASE_CONTRACT.value_columns)
+
+
+@register("cleaning_report", O.with_chain(
+    f"SELECT s.*, o.outliers_iqr FROM ({_stage_counts_sql()}) s JOIN ({_outliers_sql('clean')}) o USING (column_name)"))
+def q_cleaning_report(spark, sf):
+    counts = C.stage_counts(C.coerce_numeric(base(spark, sf)))
+    return C.report_with_outliers(counts, clean_base(spark, sf))
+
+
+@register("cleaning_summary", O.with_chain("""
+SELECT (SELECT count(*) FROM base_raw) AS filas_iniciales,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM base_raw)) AS filas_limpias,
+       (SELECT count(*) FROM base_raw) - (SELECT count(*) FROM (SELECT DISTINCT * FROM base_raw)) AS duplicados_exactos"""))
+def q_cleaning_summary(spark, sf):
+    return C.cleaning_summary(base(spark, sf))
+
+
+@register("validate_clean", O.with_chain(O.clean_issues_sql("coerced")))
+def q_validate_clean(spark, sf):
+    """Post-clean checks run on the coerced (not yet masked/imputed) table: real hits."""
+    return V.validate_clean(C.coerce_numeric(base(spark, sf)))
+
+
+@register("validate_clean_final", O.with_chain(O.clean_issues_sql("clean")))
+def q_validate_clean_final(spark, sf):
+    return V.validate_clean(clean_base(spark, sf))
+
+
+# ---- features ---------------------------------------------------------------------
+
+@register("ratios", O.with_chain("SELECT id_cliente, contenidos_por_sesion, gasto_por_hora, minutos_totales_estimados, "
+                                 "soporte_por_dispositivo, generos_por_contenido FROM analytic"))
+def q_ratios(spark, sf):
+    return FE.ratios(clean_base(spark, sf)).select(
+        ID, "contenidos_por_sesion", "gasto_por_hora", "minutos_totales_estimados", "soporte_por_dispositivo",
+        "generos_por_contenido")
+
+
+@register("engagement", O.with_chain("SELECT id_cliente, engagement_score FROM scored"))
+def q_engagement(spark, sf):
+    return FE.engagement_scores(clean_base(spark, sf))
+
+
+@register("engagement_level", O.with_chain("SELECT id_cliente, engagement_score, nivel_engagement FROM analytic"))
+def q_engagement_level(spark, sf):
+    return analytic(spark, sf).select(ID, "engagement_score", FE.engagement_level("engagement_score")
+                                      .alias("nivel_engagement"))
+
+
+@register("flags", O.with_chain("SELECT id_cliente, cliente_antiguo, uso_promociones_alto FROM analytic"))
+def q_flags(spark, sf):
+    return FE.flags(clean_base(spark, sf)).select(ID, "cliente_antiguo", "uso_promociones_alto")
+
+
+@register("tier_cuts", O.with_chain(" UNION ALL ".join(
+    f"SELECT '{t}' AS tag, {t} AS value FROM cuts" for t in ("gasto_alto", "gasto_bajo", "engagement_alto",
+                                                             "engagement_bajo"))))
+def q_tier_cuts(spark, sf):
+    return FE.tier_cuts(analytic(spark, sf))
+
+
+@register("value_tier", O.with_chain("SELECT id_cliente, valor_cliente FROM analytic"))
+def q_value_tier(spark, sf):
+    scored = analytic(spark, sf).select(*BASE_CONTRACT.columns, "engagement_score")
+    return FE.value_tier(scored).select(ID, "valor_cliente")
+
+
+@register("analytic", O.with_chain("SELECT * FROM analytic"))
+def q_analytic(spark, sf):
+    return analytic(spark, sf)
+
+
+# ---- KPIs and reports ---------------------------------------------------------------
+
+@register("kpi_summary", O.with_chain("""
+SELECT CAST(coalesce(sum(CASE WHEN valor_cliente = 'alto_valor' THEN usuarios END), 0) AS BIGINT) AS usuarios_alto_valor,
+       CAST(coalesce(sum(CASE WHEN valor_cliente = 'valor_en_riesgo' THEN usuarios END), 0) AS BIGINT)
+         AS usuarios_valor_en_riesgo
+FROM kpis"""))
+def q_kpi_summary(spark, sf):
+    return K.kpi_summary(kpis(spark, sf))
+
+
+@register("kpi_matrix", O.with_chain("""
+SELECT nivel_engagement,
+       sum(CASE WHEN valor_cliente = 'alto_valor' THEN usuarios END) AS alto_valor,
+       sum(CASE WHEN valor_cliente = 'valor_en_riesgo' THEN usuarios END) AS valor_en_riesgo,
+       sum(CASE WHEN valor_cliente = 'valor_medio' THEN usuarios END) AS valor_medio
+FROM kpis GROUP BY nivel_engagement"""))
+def q_kpi_matrix(spark, sf):
+    return K.kpi_matrix(kpis(spark, sf))
+
+
+def _quality_sql() -> str:
+    def one(name, table, cols):
+        nulls = " + ".join(f"count_if({c} IS NULL)" for c in cols)
+        return (f"SELECT '{name}' AS stage, count(*) AS filas, CAST({len(cols)} AS BIGINT) AS columnas, "
+                f"CAST({nulls} AS BIGINT) AS nulos_totales FROM {table}")
+    from ..contracts import DERIVED_COLUMNS
+    return " UNION ALL ".join([one("integrado", "base_raw", BASE_COLUMNS), one("limpio", "clean", BASE_COLUMNS),
+                               one("analitico", "analytic", BASE_COLUMNS + DERIVED_COLUMNS)])
+
+
+@register("quality_report", O.with_chain(_quality_sql()))
+def q_quality_report(spark, sf):
+    return K.quality_report([("integrado", base(spark, sf)), ("limpio", clean_base(spark, sf)),
+                             ("analitico", analytic(spark, sf))])
+
+
+@register("null_counts", O.with_chain(" UNION ALL ".join(
+    f"SELECT 'integrado' AS stage, '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS nulls FROM base_raw"
+    for c in BASE_COLUMNS)))
+def q_null_counts(spark, sf):
+    return K.null_counts(base(spark, sf), "integrado")

@@ -20,8 +20,14 @@ _MEMO: dict[tuple, DataFrame] = {}
 
 
 def materialize(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df``; it is persisted for the duration so the checkpoint
+    write does not recompute the plan a second time."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
