@@ -17,10 +17,10 @@ from ..functions.numeric import round_half_even
 from . import distribution as D
 
 
-def id_hash(id_col: str = ID, salt: str = str(RANDOM_STATE)) -> Column:
-    """60-bit portable hash of (id, salt): first 15 hex digits of md5."""
+def id_hash(id_col: str = ID, salt: str = str(RANDOM_STATE), hex_digits: int = 15) -> Column:
+    """Portable hash of (id, salt): the first ``hex_digits`` hex digits of md5 as a long."""
     s = F.concat(F.col(id_col).cast("string"), F.lit(":" + salt))
-    return F.conv(F.substring(F.md5(s), 1, 15), 16, 10).cast("long")
+    return F.conv(F.substring(F.md5(s), 1, hex_digits), 16, 10).cast("long")
 
 
 def train_test_split(df: DataFrame, id_col: str = ID, seed: int = RANDOM_STATE,
@@ -98,7 +98,8 @@ def folds(train: DataFrame, k: int = CV_FOLDS, id_col: str = ID, label: str | No
     The per-class position comes from the distributed cumulative distribution
     (no per-class global window, which would put a whole class in one task).
     """
-    h = id_hash(id_col, f"{seed}:fold")
+    # 13 hex digits = 52 bits: exact as a double, the distribution's value type.
+    h = id_hash(id_col, f"{seed}:fold", 13)
     t = train.withColumn("_h", h)
     if label is None:
         return t.withColumn("fold", F.pmod(F.col("_h"), F.lit(k)).cast("int")).drop("_h")

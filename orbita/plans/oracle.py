@@ -263,3 +263,14 @@ def clean_issues_sql(table: str) -> str:
 
 cte("events_src", "SELECT user_id AS id_cliente, count(*) AS eventos, sum(value) AS valor_total FROM events GROUP BY user_id")
 cte("lineitem_keyed", "SELECT l_orderkey AS id_cliente, l_quantity AS horas_consumo_mensual FROM lineitem")
+
+
+def hash_sql(id_expr: str, salt: str, hex_digits: int = 15) -> str:
+    return f"CAST(('0x' || substr(md5(CAST({id_expr} AS VARCHAR) || ':{salt}'), 1, {hex_digits})) AS BIGINT)"
+
+
+cte("split", f"SELECT *, CAST({hash_sql('id_cliente', '29')} % 100 < 20 AS INTEGER) AS is_test FROM clean")
+cte("risk_th", f"""SELECT {median_sql('porcentaje_finalizacion', '(SELECT * FROM split WHERE is_test = 0)')} AS fin,
+                         {median_sql('sesiones_semana', '(SELECT * FROM split WHERE is_test = 0)')} AS ses""")
+cte("labelled", "SELECT s.*, CAST(porcentaje_finalizacion < t.fin AND sesiones_semana < t.ses AS INTEGER)"
+                " AS riesgo_bajo_compromiso FROM split s, risk_th t")

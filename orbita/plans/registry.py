@@ -364,3 +364,261 @@ def q_quality_report(spark, sf):
     for c in BASE_COLUMNS)))
 def q_null_counts(spark, sf):
     return K.null_counts(base(spark, sf), "integrado")
+
+
+# ---- supervised: relational parts ------------------------------------------------------
+
+from ..contracts import CLASSIFICATION_TARGET  # noqa: E402
+from ..operators import supervised as SV  # noqa: E402
+
+
+def labelled(spark, sf) -> DataFrame:
+    def build():
+        split = SV.train_test_split(clean_base(spark, sf))
+        return SV.risk_label(split)
+    return S.stage(spark, sf, "labelled", build)
+
+
+@register("train_test_split", O.with_chain("SELECT id_cliente, is_test FROM split"))
+def q_split(spark, sf):
+    return SV.train_test_split(clean_base(spark, sf)).select(ID, "is_test")
+
+
+@register("risk_thresholds", O.with_chain(
+    "SELECT 'porcentaje_finalizacion' AS column_name, fin AS value FROM risk_th "
+    "UNION ALL SELECT 'sesiones_semana', ses FROM risk_th"))
+def q_risk_thresholds(spark, sf):
+    return SV.risk_thresholds(SV.train_test_split(clean_base(spark, sf)))
+
+
+@register("risk_label", O.with_chain("SELECT id_cliente, is_test, riesgo_bajo_compromiso FROM labelled"))
+def q_risk_label(spark, sf):
+    return labelled(spark, sf).select(ID, "is_test", CLASSIFICATION_TARGET)
+
+
+@register("class_balance", O.with_chain(
+    "SELECT is_test, riesgo_bajo_compromiso, count(*) AS n FROM labelled GROUP BY ALL"))
+def q_class_balance(spark, sf):
+    return SV.class_balance(labelled(spark, sf))
+
+
+@register("folds", O.with_chain(f"""
+SELECT id_cliente, riesgo_bajo_compromiso,
+       CAST((row_number() OVER (PARTITION BY riesgo_bajo_compromiso
+                                ORDER BY {O.hash_sql('id_cliente', '29:fold', 13)}) - 1) % 5 AS INTEGER) AS fold
+FROM labelled WHERE is_test = 0"""))
+def q_folds(spark, sf):
+    """Stratified 5-fold assignment of the training rows."""
+    train = labelled(spark, sf).filter(F.col("is_test") == 0)
+    return SV.folds(train, label=CLASSIFICATION_TARGET).select(ID, CLASSIFICATION_TARGET, "fold")
+
+
+@register("folds_plain", O.with_chain(
+    f"SELECT id_cliente, CAST({O.hash_sql('id_cliente', '29:fold', 13)} % 5 AS INTEGER) AS fold "
+    "FROM labelled WHERE is_test = 0"))
+def q_folds_plain(spark, sf):
+    train = labelled(spark, sf).filter(F.col("is_test") == 0)
+    return SV.folds(train).select(ID, "fold")
+
+
+_OLS = ("(SELECT regr_slope(gasto_mensual, horas_consumo_mensual) AS b, "
+        "regr_intercept(gasto_mensual, horas_consumo_mensual) AS a FROM split WHERE is_test = 0)")
+
+
+@register("ols_simple", O.with_chain(f"""
+SELECT {O.rnd('regr_slope(gasto_mensual, horas_consumo_mensual)', 6)} AS pendiente,
+       {O.rnd('regr_intercept(gasto_mensual, horas_consumo_mensual)', 6)} AS intercepto,
+       regr_count(gasto_mensual, horas_consumo_mensual) AS n
+FROM split WHERE is_test = 0"""))
+def q_ols(spark, sf):
+    train = SV.train_test_split(clean_base(spark, sf)).filter(F.col("is_test") == 0)
+    return SV.ols_simple(train, "horas_consumo_mensual", "gasto_mensual")
+
+
+def ols_holdout(spark, sf) -> DataFrame:
+    """Holdout predictions of the single-feature spend model (rounded coefficients)."""
+    split = SV.train_test_split(clean_base(spark, sf))
+    coef = SV.ols_simple(split.filter(F.col("is_test") == 0), "horas_consumo_mensual", "gasto_mensual")
+    b, a = coef.select("pendiente").scalar(), coef.select("intercepto").scalar()
+    test = split.filter(F.col("is_test") == 1)
+    return test.select(ID, F.col("gasto_mensual").alias("valor_real"),
+                       (a + b * F.col("horas_consumo_mensual")).alias("valor_predicho"))
+
+
+_OLS_PRED = (f"(SELECT id_cliente, gasto_mensual AS valor_real, c.a + c.b * horas_consumo_mensual AS valor_predicho "
+             f"FROM split, (SELECT {O.rnd('regr_slope(gasto_mensual, horas_consumo_mensual)', 6)} AS b, "
+             f"{O.rnd('regr_intercept(gasto_mensual, horas_consumo_mensual)', 6)} AS a FROM split WHERE is_test = 0) c "
+             f"WHERE is_test = 1)")
+
+
+@register("holdout_reg", O.with_chain(
+    f"SELECT id_cliente, valor_real, valor_predicho, valor_real - valor_predicho AS residuo FROM {_OLS_PRED}"))
+def q_holdout_reg(spark, sf):
+    p = ols_holdout(spark, sf)
+    return p.withColumn("residuo", F.col("valor_real") - F.col("valor_predicho"))
+
+
+@register("regression_metrics", O.with_chain(f"""
+SELECT {O.rnd('1 - sum((valor_real - valor_predicho) * (valor_real - valor_predicho)) / (var_pop(valor_real) * count(*))', 6)} AS r2,
+       {O.rnd('avg(abs(valor_real - valor_predicho))', 6)} AS mae,
+       {O.rnd('sqrt(avg((valor_real - valor_predicho) * (valor_real - valor_predicho)))', 6)} AS rmse,
+       count(*) AS n
+FROM {_OLS_PRED}"""))
+def q_regression_metrics(spark, sf):
+    return SV.regression_metrics(ols_holdout(spark, sf))
+
+
+def baseline_risk(spark, sf) -> DataFrame:
+    """Holdout of the engagement baseline: P(risk) = 1 - engagement score."""
+    lab = labelled(spark, sf).filter(F.col("is_test") == 1).select(ID, CLASSIFICATION_TARGET)
+    sc = analytic(spark, sf).select(ID, (F.lit(1.0) - F.col("engagement_score")).alias("probabilidad_riesgo"))
+    j = lab.join(sc, ID)
+    return j.select(ID, F.col(CLASSIFICATION_TARGET).alias("valor_real"),
+                    (F.col("probabilidad_riesgo") >= 0.5).cast("int").alias("valor_predicho"), "probabilidad_riesgo")
+
+
+_BASE_PRED = ("(SELECT l.id_cliente, l.riesgo_bajo_compromiso AS valor_real, "
+              f"CAST({O.d(1)} - a.engagement_score >= 0.5 AS INTEGER) AS valor_predicho, "
+              f"{O.d(1)} - a.engagement_score AS probabilidad_riesgo "
+              "FROM labelled l JOIN analytic a USING (id_cliente) WHERE l.is_test = 1)")
+
+
+@register("holdout_clf", O.with_chain(f"SELECT * FROM {_BASE_PRED}"))
+def q_holdout_clf(spark, sf):
+    return baseline_risk(spark, sf)
+
+
+@register("confusion_matrix", O.with_chain(f"""
+SELECT r.real, p.predicho, count_if(valor_real = r.real AND valor_predicho = p.predicho) AS n
+FROM {_BASE_PRED} x, (VALUES (0), (1)) r(real), (VALUES (0), (1)) p(predicho) GROUP BY r.real, p.predicho"""))
+def q_confusion(spark, sf):
+    return SV.confusion_matrix(baseline_risk(spark, sf))
+
+
+@register("classification_metrics", O.with_chain(f"""
+SELECT {O.rnd('count_if(valor_real = valor_predicho) / count(*)', 6)} AS accuracy,
+       {O.rnd(f'coalesce(count_if(valor_real = 1 AND valor_predicho = 1) / nullif(count_if(valor_predicho = 1), 0), {O.d(0)})', 6)} AS precision,
+       {O.rnd(f'coalesce(count_if(valor_real = 1 AND valor_predicho = 1) / nullif(count_if(valor_real = 1), 0), {O.d(0)})', 6)} AS recall,
+       {O.rnd(f'coalesce(2.0 * count_if(valor_real = 1 AND valor_predicho = 1) / nullif(2.0 * count_if(valor_real = 1 AND valor_predicho = 1) + count_if(valor_real = 0 AND valor_predicho = 1) + count_if(valor_real = 1 AND valor_predicho = 0), 0), {O.d(0)})', 6)} AS f1
+FROM {_BASE_PRED}"""))
+def q_classification_metrics(spark, sf):
+    return SV.classification_metrics(baseline_risk(spark, sf))
+
+
+@register("roc_auc", O.with_chain(f"""
+SELECT {O.rnd(f'(sum(CASE WHEN valor_real = 1 THEN rk END) - count_if(valor_real = 1) * (count_if(valor_real = 1) + 1) / {O.d(2)}) / (count_if(valor_real = 1) * count_if(valor_real = 0))', 6)} AS roc_auc
+FROM (SELECT *, (rank() OVER (ORDER BY probabilidad_riesgo) - 1) + (count(*) OVER (PARTITION BY probabilidad_riesgo) + 1) / {O.d(2)} AS rk
+      FROM {_BASE_PRED})"""))
+def q_roc_auc(spark, sf):
+    return SV.roc_auc(baseline_risk(spark, sf))
+
+
+# ---- analyst queries (segment = value tier) ----------------------------------------------
+
+from ..contracts import KMEANS_FEATURES  # noqa: E402
+from ..operators import analyst as AN  # noqa: E402
+from ..operators import scoring as SC  # noqa: E402
+
+SEG = "valor_cliente"
+_PV = AN.PROFILE_VARIABLES
+
+
+@register("segment_filter", O.with_chain(
+    f"SELECT id_cliente, valor_cliente, {', '.join(_PV)} FROM analytic WHERE valor_cliente IN ('alto_valor', 'valor_medio')"))
+def q_segment_filter(spark, sf):
+    return AN.segment_filter(analytic(spark, sf), SEG, ["alto_valor", "valor_medio"]).select(ID, SEG, *_PV)
+
+
+@register("segment_share", O.with_chain(f"""
+SELECT valor_cliente, count(*) AS usuarios,
+       {O.rnd(f'count(*) / (SELECT count(*) FROM analytic) * {O.d(100)}', 2)} AS porcentaje
+FROM analytic GROUP BY valor_cliente"""))
+def q_segment_share(spark, sf):
+    return AN.segment_share(analytic(spark, sf), SEG)
+
+
+def _profile_sql():
+    cols = []
+    for v in _PV:
+        x = f"avg({v}) * {O.d(100)}" if v == "porcentaje_uso_promociones" else f"avg({v})"
+        cols.append(f"{O.rnd(x, 1)} AS {v}")
+    return f"SELECT valor_cliente, {', '.join(cols)} FROM analytic GROUP BY valor_cliente"
+
+
+@register("segment_profile", O.with_chain(_profile_sql()))
+def q_segment_profile(spark, sf):
+    return AN.segment_profile(analytic(spark, sf), SEG)
+
+
+@register("profile_unpivot", O.with_chain(
+    f"SELECT valor_cliente, variable, valor FROM ({_profile_sql()}) UNPIVOT (valor FOR variable IN ({', '.join(_PV)}))"))
+def q_profile_unpivot(spark, sf):
+    return AN.profile_unpivot(AN.segment_profile(analytic(spark, sf), SEG), SEG)
+
+
+@register("relative_profile", O.with_chain(f"""
+SELECT valor_cliente, variable,
+       {O.rnd('(media - min(media) OVER (PARTITION BY variable)) / nullif(max(media) OVER (PARTITION BY variable) - min(media) OVER (PARTITION BY variable), 0)', 6)} AS nivel_relativo
+FROM (SELECT valor_cliente, {', '.join(f'avg({v}) AS {v}' for v in KMEANS_FEATURES)} FROM analytic GROUP BY valor_cliente)
+UNPIVOT (media FOR variable IN ({', '.join(KMEANS_FEATURES)}))"""))
+def q_relative_profile(spark, sf):
+    return AN.relative_profile(analytic(spark, sf), SEG)
+
+
+@register("user_vs_segment", O.with_chain(f"""
+SELECT id_cliente, valor_cliente, variable, valor_usuario, {O.rnd('media_segmento', 6)} AS media_segmento,
+       {O.rnd(f'(valor_usuario - media_segmento) / nullif(media_segmento, 0) * {O.d(100)}', 1)} AS diferencia_pct
+FROM (SELECT a.id_cliente, a.valor_cliente, u.variable, CAST(u.valor_usuario AS DOUBLE) AS valor_usuario,
+             CASE u.variable {' '.join(f"WHEN '{v}' THEN m.{v}" for v in _PV)} END AS media_segmento
+      FROM analytic a
+      JOIN (SELECT valor_cliente, {', '.join(f'avg({v}) AS {v}' for v in _PV)} FROM analytic GROUP BY valor_cliente) m
+        USING (valor_cliente)
+      JOIN (SELECT id_cliente, variable, valor_usuario FROM
+              (SELECT id_cliente, {', '.join(f'CAST({v} AS DOUBLE) AS {v}' for v in _PV)} FROM analytic)
+              UNPIVOT (valor_usuario FOR variable IN ({', '.join(_PV)}))) u USING (id_cliente))"""))
+def q_user_vs_segment(spark, sf):
+    return AN.user_vs_segment(analytic(spark, sf), SEG)
+
+
+@register("distinct_segments", O.with_chain("SELECT DISTINCT valor_cliente FROM analytic ORDER BY valor_cliente"))
+def q_distinct_segments(spark, sf):
+    return AN.distinct_sorted(analytic(spark, sf), SEG)
+
+
+@register("executive_summary", O.with_chain(f"""
+SELECT count(*) AS usuarios, count(DISTINCT valor_cliente) AS segmentos, {O.rnd('avg(gasto_mensual)', 2)} AS gasto_promedio,
+       count_if(valor_cliente = 'alto_valor') AS usuarios_alto_valor,
+       count_if(valor_cliente = 'valor_en_riesgo') AS usuarios_en_riesgo FROM analytic"""))
+def q_executive_summary(spark, sf):
+    return AN.executive_summary(analytic(spark, sf), SEG)
+
+
+@register("spend_by_segment", O.with_chain(
+    f"SELECT valor_cliente, {O.rnd('avg(gasto_mensual)', 2)} AS gasto_promedio FROM analytic GROUP BY valor_cliente"))
+def q_spend_by_segment(spark, sf):
+    return AN.spend_by_segment(analytic(spark, sf), SEG)
+
+
+def _reasons_sql(fields) -> str:
+    from ..contracts import INTEGER_COLUMNS as INTS, RANGES as RG
+    parts = []
+    for c in fields:
+        x = f"TRY_CAST({c} AS DOUBLE)"
+        parts.append(f"CASE WHEN {x} IS NULL OR isnan({x}) THEN '{c}:missing' END")
+        lo, hi = RG.get(c, (None, None))
+        if lo is not None:
+            parts.append(f"CASE WHEN {x} < {O.d(lo)} THEN '{c}:below_minimum' END")
+        if hi is not None:
+            parts.append(f"CASE WHEN {x} > {O.d(hi)} THEN '{c}:above_maximum' END")
+        if c in INTS:
+            parts.append(f"CASE WHEN fmod({x}, {O.d(1)}) <> 0 THEN '{c}:not_integer' END")
+        parts.append(f"CASE WHEN isinf({x}) THEN '{c}:not_finite' END")
+    return f"concat_ws(',', {', '.join(parts)})"
+
+
+@register("score_input_split", O.with_chain(f"""
+SELECT id_cliente, CAST({_reasons_sql(KMEANS_FEATURES)} = '' AS INTEGER) AS aceptado,
+       {_reasons_sql(KMEANS_FEATURES)} AS motivos FROM base_raw"""))
+def q_score_input_split(spark, sf):
+    """The raw integrated rows as a batch of scoring requests: accepted or rejected with reasons."""
+    return SC.score_input_split(base(spark, sf), KMEANS_FEATURES)
