@@ -622,3 +622,7 @@ SELECT id_cliente, CAST({_reasons_sql(KMEANS_FEATURES)} = '' AS INTEGER) AS acep
 def q_score_input_split(spark, sf):
     """The raw integrated rows as a batch of scoring requests: accepted or rejected with reasons."""
     return SC.score_input_split(base(spark, sf), KMEANS_FEATURES)
+
+
+# Model, scoring and sink queries register themselves on import.
+from . import registry_ml  # noqa: E402,F401

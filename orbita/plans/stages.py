@@ -37,5 +37,13 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     return _MEMO[key]
 
 
+def memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
+    """Memoize a non-DataFrame result (fitted models, small driver-side tables)."""
+    key = (spark.sparkContext.applicationId, sf_dir, "memo:" + name)
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
 def forget() -> None:
     _MEMO.clear()
