@@ -27,7 +27,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---- shared lineage ---------------------------------------------------------
 
 def sources(spark, sf):
-    return tpch.sources(spark, sf, dirty=True)
+    """Extracted sources, materialized once (validation, compat and join all read them)."""
+    b = S.stage(spark, sf, "behaviour_src", lambda: tpch.behaviour_source(spark, sf))
+    p = S.stage(spark, sf, "profile_src", lambda: tpch.profile_source(spark, sf))
+    return b, tpch.profile_for(p, b)
 
 
 def base(spark, sf) -> DataFrame:
@@ -83,7 +86,7 @@ _P_ACTUAL = PROFILE_COLUMNS + ["segmento_mercado"]
 @register("validate_source", O.with_chain(O.source_issues_sql(
     "behaviour_src", BEHAVIOUR_COLUMNS, BEHAVIOUR_COLUMNS, V.BEHAVIOUR_SOURCE, _B_TEXT, _B_FLOAT)))
 def q_validate_source(spark, sf):
-    return V.validate_source(tpch.behaviour_source(spark, sf), BEHAVIOUR_COLUMNS, V.BEHAVIOUR_SOURCE)
+    return V.validate_source(sources(spark, sf)[0], BEHAVIOUR_COLUMNS, V.BEHAVIOUR_SOURCE)
 
 
 @register("validate_profile", O.with_chain(O.source_issues_sql(
@@ -159,7 +162,8 @@ WHERE (SELECT count(*) FROM {_SRC_ISSUES} x WHERE x.severity = 'error' AND x.cod
         'MISSING_PROFILE_ID')) = 0"""))
 def q_validate_sources(spark, sf):
     """Consolidated report on the unrestricted pair (at sf0.1 one customer has no orders)."""
-    return V.validate_sources(tpch.behaviour_source(spark, sf), tpch.profile_source(spark, sf))
+    b, _ = sources(spark, sf)
+    return V.validate_sources(b, S.stage(spark, sf, "profile_src", lambda: tpch.profile_source(spark, sf)))
 
 
 # ---- integration ---------------------------------------------------------------------

@@ -31,8 +31,9 @@ def segmentation(spark, sf) -> dict:
         clean = clean_base(spark, sf)
         data = SG.kmeans_input(clean)
         stats_rows = SG.scaler_stats(data).collect()  # one row per feature
-        scaled = S.materialize(SG.scale(data, stats_rows)).persist()
+        scaled = S.materialize(SG.scale(data, stats_rows))
         n = scaled.count()
+        scaled = S.sized(scaled, n).persist()
         sweep = SG.k_sweep(scaled, n)
         rows = [tuple(r) for r in sweep.table.collect()]  # at most 9 rows
         k, method = SG.choose_k(rows)
@@ -116,8 +117,8 @@ def supervised(spark, sf) -> dict:
         n_folds = SV.check_classes(lab)
         train = lab.filter(F.col("is_test") == 0)
         n_train = train.count()
-        reg_train = S.materialize(SV.folds(train)).persist()
-        clf_train = S.materialize(SV.folds(train, k=n_folds, label=CLASSIFICATION_TARGET)).persist()
+        reg_train = S.sized(S.materialize(SV.folds(train)), n_train).persist()
+        clf_train = S.sized(S.materialize(SV.folds(train, k=n_folds, label=CLASSIFICATION_TARGET)), n_train).persist()
         reg = M.select(reg_train, lab, M.regression_candidates(REGRESSION_FEATURES, REGRESSION_TARGET),
                        M.r2_evaluator(REGRESSION_TARGET), 5)
         clf = M.select(clf_train, lab, M.classification_candidates(CLASSIFICATION_FEATURES, CLASSIFICATION_TARGET,
@@ -248,8 +249,9 @@ def q_score_risk(spark, sf):
 def q_score_chain(spark, sf):
     """Predicted spend replaces the observed one, then segment and risk are scored."""
     req = accepted_requests(spark, sf)
-    spend = _spend(spark, sf, req)
-    req2 = req.drop("gasto_mensual").join(spend.select(ID, F.col("gasto_predicho").alias("gasto_mensual")), ID)
+    spend = S.materialize(_spend(spark, sf, req))
+    req2 = S.materialize(req.drop("gasto_mensual").join(
+        spend.select(ID, F.col("gasto_predicho").alias("gasto_mensual")), ID))
     seg = _assign(spark, sf, req2)
     risk = _risk(spark, sf, req2)
     return spend.join(seg, ID).join(risk, ID)
@@ -314,3 +316,23 @@ def q_stage_counts(spark, sf):
              analytic(spark, sf).agg(F.lit("analitico").alias("stage"), F.count(F.lit(1)).alias("filas"),
                                      F.count_distinct(ID).alias("ids"))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("published_tables", O.with_chain("""
+SELECT 'analytic' AS tabla, count(*) AS filas FROM analytic
+UNION ALL SELECT 'base', count(*) FROM base_raw
+UNION ALL SELECT 'clean', count(*) FROM clean
+UNION ALL SELECT 'kpis', count(*) FROM kpis"""))
+def q_published_tables(spark, sf):
+    """Deferred publication: tables first, manifest last; rows read back through the manifest."""
+    from . import pipeline as P
+    tables = {"base": base(spark, sf), "clean": clean_base(spark, sf), "analytic": analytic(spark, sf),
+              "kpis": kpis(spark, sf)}
+    run_dir = P.publish(tables, {"run_id": "check"}, files.scratch(spark, "published"))
+    outputs = P.read_manifest(spark, run_dir)["outputs"]  # one entry per table
+    parts = [spark.read.parquet(path).agg(F.lit(name).alias("tabla"), F.count(F.lit(1)).alias("filas"))
+             for name, path in sorted(outputs.items())]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

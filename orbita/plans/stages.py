@@ -30,6 +30,14 @@ def materialize(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
+def sized(df: DataFrame, rows: int, rows_per_partition: int = 200_000) -> DataFrame:
+    """Partitions proportional to the row count (iterative ML on a cached table:
+    every iteration is a job, so empty-ish tasks are pure overhead)."""
+    want = max(1, -(-rows // rows_per_partition))
+    have = df.rdd.getNumPartitions()
+    return df.coalesce(want) if want < have else df.repartition(want) if want > 2 * have else df
+
+
 def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _MEMO:
