@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import BASE_CONTRACT, Contract, DataQualityError
 from ..functions.numeric import finite_or_null, out_of_domain, to_double
+from ..session import materialize
 from . import distribution as D
 
 
@@ -110,7 +111,7 @@ def masked(df: DataFrame, contract: Contract = BASE_CONTRACT, ids_unique: bool =
 
 
 def clean(df: DataFrame, contract: Contract = BASE_CONTRACT, ids_unique: bool = False,
-          border=lambda d: d) -> DataFrame:
+          border=materialize) -> DataFrame:
     """Lazy composition of the cleaning policies (gates are separate actions).
 
     ``ids_unique``: the caller proved id uniqueness (validation + one-to-one

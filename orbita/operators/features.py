@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..contracts import (DERIVED_COLUMNS, ENGAGEMENT_BINS, ENGAGEMENT_WEIGHTS, HIGH_PROMO_SHARE, ID, LONG_TENURE_MONTHS,
                          SESSIONS_PER_MONTH, TIER_QUANTILES)
 from ..functions.numeric import round_half_even, safe_ratio
+from ..session import materialize
 from . import distribution as D
 
 
@@ -87,7 +88,7 @@ def value_tier(df: DataFrame, cuts: DataFrame | None = None) -> DataFrame:
     return df.withColumn("valor_cliente", tier)
 
 
-def derive(clean: DataFrame, id_column: str = ID, border=lambda df: df) -> DataFrame:
+def derive(clean: DataFrame, id_column: str = ID, border=materialize) -> DataFrame:
     """Base (16 columns) -> analytical table (26 columns).
 
     ``border`` materializes the scored table before the tier cuts read it

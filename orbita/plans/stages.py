@@ -14,22 +14,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize  # noqa: F401  (re-exported)
 
 _MEMO: dict[tuple, DataFrame] = {}
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df``; it is persisted for the duration so the checkpoint
-    write does not recompute the plan a second time."""
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.persist()
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
-
-
 def sized(df: DataFrame, rows: int, rows_per_partition: int = 200_000) -> DataFrame:
     """Partitions proportional to the row count (iterative ML on a cached table:
     every iteration is a job, so empty-ish tasks are pure overhead)."""

@@ -70,3 +70,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df):
+    """Reliable checkpoint of ``df`` to the shared folder (cuts lineage).
+
+    The frame is persisted while the checkpoint is written so the plan is not
+    computed twice (once for the eager count, once for the write).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

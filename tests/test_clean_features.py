@@ -14,6 +14,11 @@ def base(behaviour, profile):
     return I.join_one_to_one(behaviour, profile).base.cache()
 
 
+@pytest.fixture(scope="module")
+def analytic(base):
+    return FE.derive(C.clean(base))
+
+
 def test_dedup_and_id_gate(base):
     doubled = base.unionByName(base.limit(2))
     assert C.dedup_exact(doubled).count() == 12
@@ -51,8 +56,8 @@ def test_all_null_column_cannot_be_imputed(base):
         C.check_imputable(C.masked(b))
 
 
-def test_features_bins_and_tiers(base):
-    a = FE.derive(C.clean(base))
+def test_features_bins_and_tiers(analytic):
+    a = analytic
     assert a.columns[:16] == BASE_COLUMNS and len(a.columns) == 26
     rows = a.collect()
     for r in rows:
@@ -76,8 +81,8 @@ def test_engagement_matches_pandas_ranks(base):
     assert all(got[i] == w for i, w in zip(pdf["id_cliente"], want))
 
 
-def test_kpi_grid_is_dense(base):
-    a = FE.derive(C.clean(base))
+def test_kpi_grid_is_dense(analytic):
+    a = analytic
     levels = {r[0] for r in a.select("nivel_engagement").distinct().collect() if r[0]}
     tiers = {r[0] for r in a.select("valor_cliente").distinct().collect()}
     k = K.kpis_grid(a)
