@@ -16,6 +16,7 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..contracts import (ID, K_MAX, K_MIN, KMEANS_FEATURES, KMEANS_RESTARTS, MIN_KMEANS_ROWS, RANDOM_STATE,
                          ModelTrainingError)
@@ -124,16 +125,14 @@ def relabel_by_spend(assigned: DataFrame, original: DataFrame, id_col: str = ID,
                      spend: str = "gasto_mensual") -> DataFrame:
     """Renumber clusters by ascending mean spend so ids are stable across runs.
 
-    The per-cluster means (k rows) come back as one map scalar; a cluster's new
-    id is the number of clusters with a smaller (mean, old id).
+    The per-cluster means table has k rows (k <= 10); its ranking is a window
+    over those k rows and the mapping is broadcast back.
     """
     means = assigned.select(id_col, "cluster").join(original.select(id_col, spend), id_col) \
         .groupBy("cluster").agg(F.avg(spend).alias("_m"))
-    w = means.select(F.map_from_entries(F.collect_list(F.struct(
-        "cluster", F.struct(F.col("_m").alias("m"), F.col("cluster").alias("c"))))).alias("w")).scalar()
-    me = F.element_at(w, F.col("cluster"))
-    new_id = F.size(F.filter(F.map_values(w), lambda v: (v["m"] < me["m"]) | ((v["m"] == me["m"]) & (v["c"] < me["c"]))))
-    return assigned.withColumn("cluster", new_id.cast("int"))
+    mapping = means.select("cluster", (F.row_number().over(Window.orderBy("_m", "cluster")) - 1)
+                           .cast("int").alias("_new"))
+    return assigned.join(F.broadcast(mapping), "cluster").drop("cluster").withColumnRenamed("_new", "cluster")
 
 
 def pca_2d(scaled: DataFrame, id_col: str = ID):
