@@ -37,9 +37,18 @@ def _numeric_type(dt: T.DataType) -> bool:
     return isinstance(dt, T.NumericType)
 
 
+def _type_issue(stage: str, code: str) -> DataFrame:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    return spark.createDataFrame([(stage, code, "error", None, 1)],
+                                 "stage string, code string, severity string, column_name string, n long")
+
+
 def validate_source(df: DataFrame, required: list[str], source: str, id_column: str = ID) -> DataFrame:
-    """Pre-join checks of one source (empty, schema, ids, nulls, text, inf)."""
+    """Pre-join checks of one source (type, empty, schema, ids, nulls, text, inf)."""
     stage = f"estructura_{source}"
+    if not isinstance(df, DataFrame):
+        return _type_issue(stage, "INVALID_SOURCE_TYPE")
     actual = set(df.columns)
     missing = sorted(set(required) - actual)
     extra = sorted(actual - set(required))
@@ -132,6 +141,8 @@ def validate_sources(behaviour: DataFrame, profile: DataFrame, id_column: str =
 def validate_clean(df: DataFrame, columns: list[str] = BASE_COLUMNS, id_column: str = ID) -> DataFrame:
     """Post-clean checks: what was a warning before is blocking now."""
     stage = "dataset_limpio"
+    if not isinstance(df, DataFrame):
+        return _type_issue(stage, "INVALID_CLEAN_DATASET_TYPE")
     actual = set(df.columns)
     missing = sorted(set(columns) - actual)
     extra = sorted(actual - set(columns))

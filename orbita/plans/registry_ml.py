@@ -336,3 +336,45 @@ def q_published_tables(spark, sf):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ---- model inputs (relational, oracle-checked) -------------------------------------------
+
+_KF = ", ".join(KMEANS_FEATURES)
+
+
+@register("kmeans_input", O.with_chain(f"SELECT id_cliente, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in KMEANS_FEATURES)} FROM clean"))
+def q_kmeans_input(spark, sf):
+    return SG.kmeans_input(clean_base(spark, sf))
+
+
+def _z_sql(c: str) -> str:
+    sd = f"stddev_pop(CAST({c} AS DOUBLE)) OVER ()"
+    return O.rnd(f"(CAST({c} AS DOUBLE) - avg(CAST({c} AS DOUBLE)) OVER ()) / CASE WHEN {sd} = 0 THEN {O.d(1)} ELSE {sd} END", 6)
+
+
+@register("scale_features", O.with_chain(
+    f"SELECT id_cliente, {', '.join(f'{_z_sql(c)} AS {c}' for c in KMEANS_FEATURES)} FROM clean"))
+def q_scale_features(spark, sf):
+    """Population-std z-scores of the 15 segmentation features (6 decimals)."""
+    from ..functions.numeric import round_half_even
+    data = SG.kmeans_input(clean_base(spark, sf), check=False)
+    z = SG.scale(data, SG.scaler_stats(data).collect(), vector=False)
+    return z.select(ID, *[round_half_even(c, 6).alias(c) for c in KMEANS_FEATURES])
+
+
+@register("supervised_input", O.with_chain(
+    f"SELECT id_cliente, is_test, gasto_mensual, riesgo_bajo_compromiso, "
+    f"{', '.join(c for c in REGRESSION_FEATURES)} FROM labelled"))
+def q_supervised_input(spark, sf):
+    """Model input after the leakage and contract gates: features, both targets, split flag."""
+    lab = labelled(spark, sf)
+    SV.check_supervised_input(lab, REGRESSION_FEATURES, REGRESSION_TARGET)
+    SV.check_supervised_input(lab, CLASSIFICATION_FEATURES, CLASSIFICATION_TARGET)
+    return lab.select(ID, "is_test", REGRESSION_TARGET, CLASSIFICATION_TARGET, *REGRESSION_FEATURES)
+
+
+@register("distinct_ids", O.with_chain("SELECT DISTINCT id_cliente FROM analytic ORDER BY id_cliente"))
+def q_distinct_ids(spark, sf):
+    """Sorted option list of customer ids (range-partitioned global sort)."""
+    return AN.distinct_sorted(analytic(spark, sf), ID)

@@ -79,3 +79,8 @@ def test_clean_validation_flags_out_of_range(behaviour, profile):
     bad = base.withColumn("edad", F.when(F.col("id_cliente") == 1001, 7).otherwise(F.col("edad")))
     assert ("VALUE_BELOW_MINIMUM", "edad") in codes(V.validate_clean(bad))
     assert V.validate_clean(base).filter("severity = 'error'").count() == 0
+
+
+def test_invalid_types(spark):
+    assert codes(V.validate_source([1, 2], BEHAVIOUR_COLUMNS, "s")) == {("INVALID_SOURCE_TYPE", None)}
+    assert codes(V.validate_clean({"a": 1})) == {("INVALID_CLEAN_DATASET_TYPE", None)}
