@@ -82,10 +82,22 @@ class Sweep:
     best_models: dict
 
 
+# Convergence: the usual KMeans convention stops when the *sum* of squared
+# centre shifts is <= 1e-4 x mean feature variance (1 after standard scaling);
+# Spark stops when *every* centre moves less than ``tol``.  tol = sqrt(1e-4 / k)
+# guarantees the sum condition, so Spark stops no later than that convention.
+CENTRE_SHIFT_TOL = 1e-4
+
+
+def kmeans_tol(k: int, mean_variance: float = 1.0) -> float:
+    return (CENTRE_SHIFT_TOL * mean_variance / k) ** 0.5
+
+
 def _fit_best(scaled: DataFrame, k: int, seed: int, restarts: int, max_iter: int) -> KMeansModel:
     best = None
     for i in range(restarts):
-        m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=VEC, predictionCol="cluster").fit(scaled)
+        m = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=kmeans_tol(k), featuresCol=VEC,
+                   predictionCol="cluster").fit(scaled)
         if best is None or m.summary.trainingCost < best.summary.trainingCost:
             best = m
     return best

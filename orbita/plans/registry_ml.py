@@ -119,11 +119,16 @@ def supervised(spark, sf) -> dict:
         n_train = train.count()
         reg_train = S.sized(S.materialize(SV.folds(train)), n_train).persist()
         clf_train = S.sized(S.materialize(SV.folds(train, k=n_folds, label=CLASSIFICATION_TARGET)), n_train).persist()
-        reg = M.select(reg_train, lab, M.regression_candidates(REGRESSION_FEATURES, REGRESSION_TARGET),
-                       M.r2_evaluator(REGRESSION_TARGET), 5)
-        clf = M.select(clf_train, lab, M.classification_candidates(CLASSIFICATION_FEATURES, CLASSIFICATION_TARGET,
-                                                                   n_train),
-                       M.f1_evaluator(CLASSIFICATION_TARGET), n_folds)
+        # The two selections are independent: run them side by side from two driver threads.
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            reg_f = pool.submit(M.select, reg_train, lab,
+                                M.regression_candidates(REGRESSION_FEATURES, REGRESSION_TARGET),
+                                M.r2_evaluator(REGRESSION_TARGET), 5)
+            clf_f = pool.submit(M.select, clf_train, lab,
+                                M.classification_candidates(CLASSIFICATION_FEATURES, CLASSIFICATION_TARGET, n_train),
+                                M.f1_evaluator(CLASSIFICATION_TARGET), n_folds)
+            reg, clf = reg_f.result(), clf_f.result()
         return {"reg": reg, "clf": clf, "labelled": lab}
     return S.memo(spark, sf, "supervised", build)
 
