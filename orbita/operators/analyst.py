@@ -33,7 +33,7 @@ def segment_share(df: DataFrame, segment: str) -> DataFrame:
     """Users per segment and % of all (filtered) rows, 2 decimals."""
     total = df.select(F.count(F.lit(1))).scalar()
     return df.groupBy(segment).agg(F.count(F.lit(1)).alias("usuarios")).select(
-        segment, "usuarios", round_half_even(F.col("usuarios") / total * F.lit(100.0), 2).alias("porcentaje"))
+        segment, "usuarios", round_half_even(F.try_divide(F.col("usuarios"), total) * F.lit(100.0), 2).alias("porcentaje"))
 
 
 def segment_means(df: DataFrame, segment: str, variables: list[str]) -> DataFrame:

@@ -117,7 +117,7 @@ def regression_metrics(pred: DataFrame, real: str = "valor_real", predicted: str
     e = F.col(real) - F.col(predicted)
     m = pred.agg(F.sum(e * e).alias("sse"), F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
                  F.var_pop(real).alias("var"), F.count(F.lit(1)).alias("n"))
-    r2 = F.lit(1.0) - F.col("sse") / (F.col("var") * F.col("n"))
+    r2 = F.lit(1.0) - F.try_divide(F.col("sse"), F.col("var") * F.col("n"))  # constant target -> null
     return m.select(round_half_even(r2, digits).alias("r2"), round_half_even(F.col("mae"), digits).alias("mae"),
                     round_half_even(F.sqrt("mse"), digits).alias("rmse"), F.col("n").alias("n"))
 
@@ -159,7 +159,8 @@ def roc_auc(pred: DataFrame, real: str = "valor_real", score: str = "probabilida
     j = long.join(ranks, [D.K, D.V])
     m = j.agg(F.sum(F.when(F.col("_y") == 1, F.col("_rank"))).alias("rs"), F.count_if(F.col("_y") == 1).alias("npos"),
               F.count_if(F.col("_y") == 0).alias("nneg"))
-    auc = (F.col("rs") - F.col("npos") * (F.col("npos") + 1) / F.lit(2.0)) / (F.col("npos") * F.col("nneg"))
+    auc = F.try_divide(F.col("rs") - F.col("npos") * (F.col("npos") + 1) / F.lit(2.0),
+                       F.col("npos") * F.col("nneg"))  # one class absent -> null
     return m.select(round_half_even(auc, digits).alias("roc_auc"))
 
 
