@@ -7,14 +7,14 @@ parameters, not by the data.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
+import pandas as pd
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -79,47 +79,190 @@ def scale(df: DataFrame, stats: DataFrame | list, features: list[str] = KMEANS_F
 @dataclass
 class Sweep:
     table: DataFrame  # k, inertia, silhouette_sq
-    best_models: dict
+    centres: dict  # k -> (k x features) array of the best restart, scaled units
 
 
-# Convergence: the usual KMeans convention stops when the *sum* of squared
-# centre shifts is <= 1e-4 x mean feature variance (1 after standard scaling);
-# Spark stops when *every* centre moves less than ``tol``.  tol = sqrt(1e-4 / k)
-# guarantees the sum condition, so Spark stops no later than that convention.
+# Convergence (the usual KMeans convention): a restart stops when the *sum* of
+# squared centre shifts is <= 1e-4 x mean feature variance, or after 300 passes.
 CENTRE_SHIFT_TOL = 1e-4
-
-
-def kmeans_tol(k: int, mean_variance: float = 1.0) -> float:
-    return (CENTRE_SHIFT_TOL * mean_variance / k) ** 0.5
-
-
-def _fit_best(scaled: DataFrame, k: int, seed: int, restarts: int, max_iter: int) -> KMeansModel:
-    best = None
-    for i in range(restarts):
-        m = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=kmeans_tol(k), featuresCol=VEC,
-                   predictionCol="cluster").fit(scaled)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
+MAX_ITER = 300
+
+
+def _mix64(x: np.ndarray) -> np.ndarray:
+    """SplitMix64 finaliser on uint64 arrays (wrapping arithmetic)."""
+    x = x.astype(np.uint64, copy=True)
+    with np.errstate(over="ignore"):
+        x ^= x >> np.uint64(30)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(27)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+    return x
+
+
+def _uniform(ids: np.ndarray, seed: int, step: int) -> np.ndarray:
+    """Uniform (0, 1) draw per id, a pure function of (id, seed, step): the same
+    under any partitioning and on task re-execution."""
+    stream = _mix64(np.array([(seed * 1_000_003 + step) & 0xFFFFFFFFFFFFFFFF], dtype=np.uint64))[0]
+    with np.errstate(over="ignore"):
+        h = _mix64(ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ stream)
+    return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+
+
+def _sq_dist(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    d = (X * X).sum(1)[:, None] - 2.0 * (X @ C.T) + (C * C).sum(1)[None, :]
+    return np.maximum(d, 0.0, out=d)
+
+
+def _seed_step(features: list[str], id_col: str, todo: list, chosen: dict, step: int):
+    """One k-means++ step for every restart in ``todo`` [(cfg, seed)]: per
+    partition, the point minimising -ln(u)/D(x)^2 (an exponential race, i.e. a
+    D^2-weighted draw); Spark keeps the global minimum per restart."""
+    def run(batches):
+        best = {}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            X = pdf[features].to_numpy(dtype=np.float64)
+            ids = pdf[id_col].to_numpy()
+            for cfg, seed in todo:
+                w = _sq_dist(X, chosen[cfg]).min(1) if step else np.ones(len(X))
+                with np.errstate(divide="ignore"):
+                    key = -np.log(_uniform(ids, seed, step)) / w
+                i = int(np.argmin(key))
+                if cfg not in best or (key[i], ids[i]) < best[cfg][:2]:
+                    best[cfg] = (float(key[i]), int(ids[i]), X[i])
+        if best:
+            yield pd.DataFrame([(c, k, i, *x) for c, (k, i, x) in best.items()],
+                               columns=["cfg", "key", id_col, *features])
+    return run
+
+
+def _lloyd_step(features: list[str], offsets: np.ndarray, C: np.ndarray):
+    """Per-partition partial sums for every centre of every active restart:
+    (g, n, cost, s_0..s_d) with g the global centre index."""
+    m, d = C.shape
+
+    def run(batches):
+        n = np.zeros(m)
+        cost = np.zeros(m)
+        s = np.zeros((m, d))
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            X = pdf[features].to_numpy(dtype=np.float64)
+            D = _sq_dist(X, C)
+            G = np.stack([offsets[i] + D[:, offsets[i]:offsets[i + 1]].argmin(1)
+                          for i in range(len(offsets) - 1)], axis=1)
+            g = G.ravel()
+            r = len(offsets) - 1
+            n += np.bincount(g, minlength=m)
+            cost += np.bincount(g, weights=np.take_along_axis(D, G, 1).ravel(), minlength=m)
+            for f in range(d):
+                s[:, f] += np.bincount(g, weights=np.repeat(X[:, f], r), minlength=m)
+        keep = np.nonzero(n)[0]
+        if len(keep):
+            out = pd.DataFrame(s[keep], columns=[f"s{f}" for f in range(d)])
+            out.insert(0, "cost", cost[keep])
+            out.insert(0, "n", n[keep].astype(np.int64))
+            out.insert(0, "g", keep.astype(np.int32))
+            yield out
+    return run
+
+
+def _lloyd_pass(points: DataFrame, features: list[str], centres: dict) -> tuple[dict, dict, dict]:
+    """One distributed assignment pass over all restarts in ``centres``.
+    Returns (new centres, inertia of the given centres, counts) per restart."""
+    cfgs = sorted(centres)
+    offsets = np.cumsum([0] + [len(centres[c]) for c in cfgs])
+    C = np.vstack([centres[c] for c in cfgs])
+    d = len(features)
+    schema = "g int, n long, cost double, " + ", ".join(f"s{f} double" for f in range(d))
+    rows = points.mapInPandas(_lloyd_step(features, offsets, C), schema).groupBy("g").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(f"s{f}").alias(f"s{f}") for f in range(d)]
+    ).collect()  # at most (restarts x sum of k) rows: bounded by parameters
+    newC, cost, cnt = C.copy(), np.zeros(len(C)), np.zeros(len(C))
+    for r in rows:
+        g = r["g"]
+        cnt[g], cost[g] = r["n"], r["cost"]
+        newC[g] = np.array([r[f"s{f}"] for f in range(d)]) / r["n"]  # empty clusters keep their centre
+    out_c, out_cost, out_n = {}, {}, {}
+    for i, c in enumerate(cfgs):
+        a, b = offsets[i], offsets[i + 1]
+        out_c[c], out_cost[c], out_n[c] = newC[a:b], float(cost[a:b].sum()), cnt[a:b]
+    return out_c, out_cost, out_n
+
+
+def kmeans_restarts(points: DataFrame, features: list[str], configs: list, id_col: str = ID,
+                    max_iter: int = MAX_ITER, tol: float = CENTRE_SHIFT_TOL) -> dict:
+    """k-means++ seeding + Lloyd iterations for many (k, seed) restarts at once.
+
+    Every pass is one Spark job over the whole table for *all* restarts still
+    running (per-partition partial sums, reduced by a groupBy), instead of one
+    job per restart per iteration; only centres (bounded by the parameters)
+    reach the driver.  Returns cfg -> (centres, inertia).
+    """
+    pts = points.select(id_col, *features)
+    d = len(features)
+    var = pts.agg(*[F.var_pop(f).alias(f) for f in features]).first()
+    shift_tol = tol * float(np.mean([var[f] or 0.0 for f in features]))
+    ks = dict(enumerate(k for k, _ in configs))
+    seeds = dict(enumerate(s for _, s in configs))
+    chosen = {c: np.zeros((0, d)) for c in ks}
+    for step in range(max(ks.values())):
+        todo = [(c, seeds[c]) for c in ks if ks[c] > step]
+        schema = "cfg int, key double, " + f"{id_col} long, " + ", ".join(f"{f} double" for f in features)
+        picks = pts.mapInPandas(_seed_step(features, id_col, todo, chosen, step), schema).groupBy("cfg").agg(
+            F.min(F.struct("key", id_col, *features)).alias("p")).collect()  # one row per restart
+        for r in picks:
+            chosen[r["cfg"]] = np.vstack([chosen[r["cfg"]], [r["p"][f] for f in features]])
+    centres, active = chosen, set(ks)
+    for _ in range(max_iter):
+        if not active:
+            break
+        new, _, _ = _lloyd_pass(pts, features, {c: centres[c] for c in active})
+        for c, nc in new.items():
+            if float(((nc - centres[c]) ** 2).sum()) <= shift_tol:
+                active.discard(c)
+            centres[c] = nc
+    _, inertia, _ = _lloyd_pass(pts, features, centres)  # final assignment with the final centres
+    return {c: (centres[c], inertia[c]) for c in ks}
+
+
+def assign_expr(C: np.ndarray, features: list[str]) -> Column:
+    """Nearest centre (first on ties) as a JVM expression over the feature columns."""
+    dists = [sum(((F.col(f) - F.lit(float(C[j, i]))) * (F.col(f) - F.lit(float(C[j, i])))
+                  for i, f in enumerate(features)), F.lit(0.0)) for j in range(len(C))]
+    arr = F.array(*dists)
+    return (F.array_position(arr, F.array_min(arr)) - 1).cast("int")
 
 
 def k_sweep(scaled: DataFrame, n_rows: int, seed: int = RANDOM_STATE, k_min: int = K_MIN, k_max: int = K_MAX,
-            restarts: int = KMEANS_RESTARTS, max_iter: int = 300, parallelism: int = 4) -> Sweep:
+            restarts: int = KMEANS_RESTARTS, max_iter: int = MAX_ITER, features: list[str] = KMEANS_FEATURES,
+            id_col: str = ID) -> Sweep:
     """Inertia and silhouette for k = k_min..min(k_max, n-1); best of ``restarts`` seeds per k.
 
-    Fits for different k run concurrently from driver threads (Spark schedules
-    their jobs side by side), each fit distributed over the cached vectors.
+    All k x restarts fits advance together (``kmeans_restarts``); the
+    silhouette of each k's best fit is Spark's linear-time squared-Euclidean one.
     """
     top = min(k_max, n_rows - 1)
     if top < k_min:
         raise ModelTrainingError("not enough rows to evaluate clusters")
     ks = list(range(k_min, top + 1))
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        models = dict(zip(ks, pool.map(lambda k: _fit_best(scaled, k, seed, restarts, max_iter), ks)))
-    ev = ClusteringEvaluator(featuresCol=VEC, predictionCol="cluster", distanceMeasure="squaredEuclidean")
-    rows = [(k, float(models[k].summary.trainingCost), float(ev.evaluate(models[k].transform(scaled)))) for k in ks]
+    configs = [(k, seed + i) for k in ks for i in range(restarts)]
+    fits = kmeans_restarts(scaled, features, configs, id_col, max_iter)
+    best = {}
+    for c, (k, _) in enumerate(configs):  # lowest inertia wins; first seed on ties
+        if k not in best or fits[c][1] < best[k][1]:
+            best[k] = fits[c]
+    labelled = scaled.select(VEC, *[assign_expr(best[k][0], features).alias(f"c{k}") for k in ks]).persist()
+    rows = []
+    for k in ks:
+        ev = ClusteringEvaluator(featuresCol=VEC, predictionCol=f"c{k}", distanceMeasure="squaredEuclidean")
+        rows.append((k, float(best[k][1]), float(ev.evaluate(labelled))))
+    labelled.unpersist()
     table = scaled.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_sq double")
-    return Sweep(table, models)
+    return Sweep(table, {k: best[k][0] for k in ks})
 
 
 def choose_k(rows: list) -> tuple[int, str]:

@@ -37,8 +37,8 @@ def segmentation(spark, sf) -> dict:
         sweep = SG.k_sweep(scaled, n)
         rows = [tuple(r) for r in sweep.table.collect()]  # at most 9 rows
         k, method = SG.choose_k(rows)
-        model = sweep.best_models[k]
-        raw = model.transform(scaled).select(ID, "cluster")
+        centres = sweep.centres[k]  # k x features, scaled units
+        raw = scaled.select(ID, SG.assign_expr(centres, KMEANS_FEATURES).alias("cluster"))
         means = raw.join(clean.select(ID, "gasto_mensual"), ID).groupBy("cluster") \
             .agg(F.avg("gasto_mensual").alias("m")).collect()  # k rows
         order = {r["cluster"]: i for i, r in enumerate(sorted(means, key=lambda r: (r["m"], r["cluster"])))}
@@ -50,7 +50,11 @@ def segmentation(spark, sf) -> dict:
         sweep_table = spark.createDataFrame(
             [(kk, inertia, sil, k, method) for kk, inertia, sil in rows],
             "k int, inertia double, silhouette_sq double, k_elegido int, metodo string")
-        return {"scaled": scaled, "stats": stats_rows, "model": model, "relabel": relabel, "k": k,
+        centres_table = spark.createDataFrame(
+            [(order[j], *map(float, centres[j])) for j in range(k)],
+            "cluster int, " + ", ".join(f"{c} double" for c in KMEANS_FEATURES))
+        return {"scaled": scaled, "stats": stats_rows, "centres": centres, "centres_table": centres_table,
+                "relabel": relabel, "k": k,
                 "method": method, "users": users, "sweep": sweep_table, "pca_variance": variance}
     return S.memo(spark, sf, "segmentation", build)
 
@@ -219,9 +223,9 @@ def accepted_requests(spark, sf) -> DataFrame:
 
 def _assign(spark, sf, req: DataFrame) -> DataFrame:
     seg = segmentation(spark, sf)
-    scaled = SG.scale(req, seg["stats"])
-    out = seg["model"].transform(scaled).select(ID, F.element_at(seg["relabel"], F.col("cluster")).alias("cluster"))
-    return out
+    scaled = SG.scale(req, seg["stats"], vector=False)
+    nearest = SG.assign_expr(seg["centres"], KMEANS_FEATURES)
+    return scaled.select(ID, F.element_at(seg["relabel"], nearest).alias("cluster"))
 
 
 @register("assign_cluster")

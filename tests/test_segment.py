@@ -26,11 +26,11 @@ def test_three_blobs_sweep_and_relabel(spark):
     df = spark.createDataFrame(rows, "id_cliente long, a double, gasto_mensual double")
     stats = SG.scaler_stats(df, ["a", "gasto_mensual"]).collect()
     scaled = SG.scale(df, stats, ["a", "gasto_mensual"]).persist()
-    sweep = SG.k_sweep(scaled, 60, k_max=5, restarts=2)
+    sweep = SG.k_sweep(scaled, 60, k_max=5, restarts=2, features=["a", "gasto_mensual"])
     rows_k = [tuple(r) for r in sweep.table.collect()]
     k, method = SG.choose_k(rows_k)
     assert k == 3
-    assigned = sweep.best_models[3].transform(scaled).select("id_cliente", "cluster")
+    assigned = scaled.select("id_cliente", SG.assign_expr(sweep.centres[3], ["a", "gasto_mensual"]).alias("cluster"))
     rel = SG.relabel_by_spend(assigned, df).join(df, "id_cliente")
     means = {r["cluster"]: r["m"] for r in rel.groupBy("cluster").agg(F.avg("gasto_mensual").alias("m")).collect()}
     assert means[0] < means[1] < means[2]
