@@ -1,7 +1,7 @@
 """Customer segmentation: scaling, k sweep, elbow choice, KMeans, PCA, centroids.
 
-Spark ML fits every model on executors; the driver only sees the k table
-(at most 9 rows), the k centroids and PCA loadings - all bounded by
+Every fit runs on executors; the driver only sees the k table (at most 9
+rows), the centres of the restarts and the PCA loadings - all bounded by
 parameters, not by the data.
 """
 
@@ -138,6 +138,27 @@ def _seed_step(features: list[str], id_col: str, todo: list, chosen: dict, step:
     return run
 
 
+def _nearest(D: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Global index of the nearest centre of every restart (row x restart)."""
+    return np.stack([offsets[i] + D[:, offsets[i]:offsets[i + 1]].argmin(1) for i in range(len(offsets) - 1)],
+                    axis=1)
+
+
+def _label_step(features: list[str], centres: list):
+    """Nearest-centre label for each given centre set (one output column per set)."""
+    offsets = np.cumsum([0] + [len(c) for c in centres])
+    C = np.vstack(centres)
+
+    def run(batches):
+        for pdf in batches:
+            X = pdf[features].to_numpy(dtype=np.float64)
+            G = _nearest(_sq_dist(X, C), offsets) - offsets[:-1][None, :] if len(X) else np.zeros((0, len(centres)))
+            for j in range(len(centres)):
+                pdf[f"_c{j}"] = G[:, j].astype(np.int32)
+            yield pdf
+    return run
+
+
 def _lloyd_step(features: list[str], offsets: np.ndarray, C: np.ndarray):
     """Per-partition partial sums for every centre of every active restart:
     (g, n, cost, s_0..s_d) with g the global centre index."""
@@ -152,14 +173,12 @@ def _lloyd_step(features: list[str], offsets: np.ndarray, C: np.ndarray):
                 continue
             X = pdf[features].to_numpy(dtype=np.float64)
             D = _sq_dist(X, C)
-            G = np.stack([offsets[i] + D[:, offsets[i]:offsets[i + 1]].argmin(1)
-                          for i in range(len(offsets) - 1)], axis=1)
-            g = G.ravel()
-            r = len(offsets) - 1
-            n += np.bincount(g, minlength=m)
-            cost += np.bincount(g, weights=np.take_along_axis(D, G, 1).ravel(), minlength=m)
-            for f in range(d):
-                s[:, f] += np.bincount(g, weights=np.repeat(X[:, f], r), minlength=m)
+            G = _nearest(D, offsets)
+            O = np.zeros_like(D)  # row x centre indicator of the assignments
+            O[np.arange(len(X))[:, None], G] = 1.0
+            n += O.sum(0)
+            cost += (O * D).sum(0)
+            s += O.T @ X
         keep = np.nonzero(n)[0]
         if len(keep):
             out = pd.DataFrame(s[keep], columns=[f"s{f}" for f in range(d)])
@@ -255,7 +274,10 @@ def k_sweep(scaled: DataFrame, n_rows: int, seed: int = RANDOM_STATE, k_min: int
     for c, (k, _) in enumerate(configs):  # lowest inertia wins; first seed on ties
         if k not in best or fits[c][1] < best[k][1]:
             best[k] = fits[c]
-    labelled = scaled.select(VEC, *[assign_expr(best[k][0], features).alias(f"c{k}") for k in ks]).persist()
+    schema = ", ".join(f"{f} double" for f in features) + ", " + ", ".join(f"_c{j} int" for j in range(len(ks)))
+    labelled = VectorAssembler(inputCols=features, outputCol=VEC).transform(
+        scaled.select(*features).mapInPandas(_label_step(features, [best[k][0] for k in ks]), schema)
+    ).select(VEC, *[F.col(f"_c{j}").alias(f"c{k}") for j, k in enumerate(ks)]).persist()
     rows = []
     for k in ks:
         ev = ClusteringEvaluator(featuresCol=VEC, predictionCol=f"c{k}", distanceMeasure="squaredEuclidean")
