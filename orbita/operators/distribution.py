@@ -67,15 +67,9 @@ def percent_rank_avg(dist: DataFrame) -> DataFrame:
     return dist.select(K, V, ((F.col("before") + (F.col("cnt") + 1) / F.lit(2.0)) / F.col("n")).alias("pct"))
 
 
-def order_statistics(dist: DataFrame, requests: DataFrame) -> DataFrame:
-    """Values at 0-based sorted positions.
-
-    ``requests``: (column_name, tag, pos) with a small, bounded number of rows.
-    Returns (column_name, tag, pos, value).
-    """
-    return dist.join(F.broadcast(requests), K).filter(
-        (F.col("before") <= F.col("pos")) & (F.col("pos") < F.col("before") + F.col("cnt"))
-    ).select(K, "tag", "pos", V)
+def _holds(pos: Column) -> Column:
+    """This distinct value occupies 0-based sorted position ``pos``."""
+    return (F.col("before") <= pos) & (pos < F.col("before") + F.col("cnt"))
 
 
 def quantiles(dist: DataFrame, wanted: list[tuple[str, str, float]]) -> DataFrame:
@@ -83,33 +77,32 @@ def quantiles(dist: DataFrame, wanted: list[tuple[str, str, float]]) -> DataFram
 
     ``wanted``: list of (column_name, tag, q).  Returns (column_name, tag, value).
     A request on a column without values yields no row.
+
+    One pass over the distribution: every distinct value checks whether it
+    holds the lower or upper order statistic of a request (the requests are a
+    broadcast list bounded by the caller), then one small aggregate per request.
     """
     spark = dist.sparkSession
     req = spark.createDataFrame(wanted, f"{K} string, tag string, q double")
-    sizes = dist.groupBy(K).agg(F.max("n").alias("n"))
-    pos = req.join(sizes, K).withColumn("h", (F.col("n") - 1) * F.col("q"))
-    pos = pos.withColumn("lo", F.floor("h")).withColumn("hi", F.least(F.col("lo") + 1, F.col("n") - 1))
-    positions = pos.select(K, "tag", F.col("lo").alias("pos")).union(pos.select(K, "tag", F.col("hi").alias("pos")))
-    stats = order_statistics(dist, positions.distinct())
-    a = stats.alias("a")
-    out = pos.alias("p").join(a, (F.col(f"p.{K}") == F.col(f"a.{K}")) & (F.col("p.tag") == F.col("a.tag"))
-                              & (F.col("p.lo") == F.col("a.pos"))) \
-        .join(stats.alias("b"), (F.col(f"p.{K}") == F.col(f"b.{K}")) & (F.col("p.tag") == F.col("b.tag"))
-              & (F.col("p.hi") == F.col("b.pos")))
-    return out.select(F.col(f"p.{K}").alias(K), F.col("p.tag").alias("tag"),
-                      lerp(F.col(f"a.{V}"), F.col(f"b.{V}"), F.col("p.h") - F.col("p.lo")).alias(V))
+    h = (F.col("n") - 1) * F.col("q")
+    lo = F.floor(h)
+    hi = F.least(lo + 1, F.col("n") - 1)
+    hits = dist.join(F.broadcast(req), K).select(
+        K, "tag", V, (h - lo).alias("_frac"), _holds(lo).alias("_lo"), _holds(hi).alias("_hi")
+    ).filter(F.col("_lo") | F.col("_hi"))
+    agg = hits.groupBy(K, "tag").agg(F.max(F.when(F.col("_lo"), F.col(V))).alias("_a"),
+                                     F.max(F.when(F.col("_hi"), F.col(V))).alias("_b"),
+                                     F.max("_frac").alias("_frac"))
+    return agg.select(K, "tag", lerp(F.col("_a"), F.col("_b"), F.col("_frac")).alias(V))
 
 
 def medians(dist: DataFrame) -> DataFrame:
     """numpy median: mean of the two middle order statistics.  (column_name, value)."""
-    sizes = dist.groupBy(K).agg(F.max("n").alias("n"))
-    pos = sizes.select(K, F.floor((F.col("n") - 1) / 2).alias("lo"), F.ceil((F.col("n") - 1) / 2).alias("hi"))
-    req = pos.select(K, F.lit("lo").alias("tag"), F.col("lo").alias("pos")).union(
-        pos.select(K, F.lit("hi").alias("tag"), F.col("hi").alias("pos")))
-    stats = order_statistics(dist, req)
-    return stats.groupBy(K).agg(
-        ((F.max(F.when(F.col("tag") == "lo", F.col(V))) + F.max(F.when(F.col("tag") == "hi", F.col(V))))
-         / F.lit(2.0)).alias(V))
+    lo = F.floor((F.col("n") - 1) / 2)
+    hi = F.ceil((F.col("n") - 1) / 2)
+    hits = dist.select(K, V, _holds(lo).alias("_lo"), _holds(hi).alias("_hi")).filter(F.col("_lo") | F.col("_hi"))
+    return hits.groupBy(K).agg(
+        ((F.max(F.when(F.col("_lo"), F.col(V))) + F.max(F.when(F.col("_hi"), F.col(V)))) / F.lit(2.0)).alias(V))
 
 
 def as_map_scalar(small: DataFrame, key: str = K, value: str = V) -> Column:
