@@ -30,7 +30,7 @@ def _issue(stage: str, code: str, severity: str, column: str | None, n: Column,
 
 
 def _explode(wide: DataFrame, issues: list[Column]) -> DataFrame:
-    return wide.select(F.explode(F.array(*issues)).alias("i")).select("i.*").filter("hit").select(*ISSUE_COLUMNS)
+    return wide.select(F.inline(F.array(*issues))).filter("hit").select(*ISSUE_COLUMNS)
 
 
 def _numeric_type(dt: T.DataType) -> bool:

@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Call-site capture for error messages costs several driver round trips per
+    # Column function; the contract-wide checks build thousands of expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
