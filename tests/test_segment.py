@@ -53,3 +53,31 @@ def test_streaming_scoring_scores_and_rejects(spark, tmp_path):
     bad = spark.read.parquet(str(tmp_path / "bad")).collect()
     assert [r["id_cliente"] for r in ok] == [1] and ok[0]["y"] == 300.0
     assert [r["id_cliente"] for r in bad] == [2] and "porcentaje_uso_app_movil:above_maximum" in bad[0]["motivos"]
+
+
+def test_batched_restarts_match_brute_force(spark):
+    import numpy as np
+    rng = np.random.default_rng(7)
+    pts = np.vstack([rng.normal(c, 0.6, size=(40, 3)) for c in ([0, 0, 0], [4, 4, 0], [0, 4, 4])])
+    feats = ["a", "b", "c"]
+    df = spark.createDataFrame([(i + 1, *map(float, p)) for i, p in enumerate(pts)],
+                               "id_cliente long, a double, b double, c double")
+    configs = [(k, 29 + s) for k in (2, 3, 4) for s in range(3)]
+    fits = SG.kmeans_restarts(df.repartition(3), feats, configs)
+    again = SG.kmeans_restarts(df.repartition(1), feats, configs)
+    assert set(fits) == set(range(len(configs)))
+    for c, (k, _) in enumerate(configs):
+        centres, inertia = fits[c]
+        assert centres.shape == (k, 3)
+        d = ((pts[:, None, :] - centres[None]) ** 2).sum(-1)
+        lab = d.argmin(1)
+        assert inertia == pytest.approx(d.min(1).sum(), rel=1e-9)  # cost of the final centres
+        for j in range(k):  # converged: each non-empty centre is the mean of its points
+            if (lab == j).any():
+                assert np.allclose(centres[j], pts[lab == j].mean(0), atol=1e-6)
+        assert np.allclose(centres, again[c][0])  # seeding and passes do not depend on partitioning
+        got = [r["cl"] for r in df.orderBy("id_cliente").select(SG.assign_expr(centres, feats).alias("cl")).collect()]
+        assert got == lab.tolist()
+    best3 = min(fits[c][1] for c, (k, _) in enumerate(configs) if k == 3)
+    best2 = min(fits[c][1] for c, (k, _) in enumerate(configs) if k == 2)
+    assert best3 < 0.5 * best2
