@@ -347,6 +347,21 @@ def q_published_tables(spark, sf):
     return out
 
 
+@register("manifest", O.with_chain("""
+SELECT (SELECT count(*) FROM base_raw) AS filas_base, (SELECT count(*) FROM clean) AS filas_clean,
+       (SELECT count(*) FROM analytic) AS filas_analytic, (SELECT count(*) FROM kpis) AS filas_kpis,
+       'deferred_until_all_stages_pass' AS estrategia, '_manifest' AS marcador, 'completed' AS estado"""))
+def q_manifest(spark, sf):
+    """Run manifest (deterministic part): a full gated run without models is published to the
+    shared folder, and the manifest it writes last is read back with Spark."""
+    from . import pipeline as P
+    res = P.run(spark, sf, files.scratch(spark, "run"), train_models=False)
+    doc = spark.read.json(f"{res.published_to}/_manifest")  # one JSON line
+    return doc.select(*[F.col(f"rows.{n}").cast("long").alias(f"filas_{n}") for n in ("base", "clean", "analytic", "kpis")],
+                      F.col("publication.strategy").alias("estrategia"),
+                      F.col("publication.completion_marker").alias("marcador"), F.col("status").alias("estado"))
+
+
 # ---- model inputs (relational, oracle-checked) -------------------------------------------
 
 _KF = ", ".join(KMEANS_FEATURES)
