@@ -156,9 +156,11 @@ def outliers_iqr(df: DataFrame, columns: list[str]) -> DataFrame:
                              F.max(F.when(F.col("tag") == "q3", F.col(D.V))).alias("q3"))
     lim = lim.withColumn("iqr", F.col("q3") - F.col("q1")).filter(F.col("iqr") != 0).select(
         D.K, (F.col("q1") - F.lit(1.5) * F.col("iqr")).alias("lo"), (F.col("q3") + F.lit(1.5) * F.col("iqr")).alias("hi"))
-    # lim has at most one row per column.
-    counts = long.join(F.broadcast(lim), D.K).groupBy(D.K).agg(
-        F.count_if((F.col(D.V) < F.col("lo")) | (F.col(D.V) > F.col("hi"))).alias("outliers_iqr"))
+    # lim has at most one row per column.  Counted on the distribution (one row
+    # per distinct value with its multiplicity), not on the unpivoted rows.
+    outside = (F.col(D.V) < F.col("lo")) | (F.col(D.V) > F.col("hi"))
+    counts = dist.join(F.broadcast(lim), D.K).groupBy(D.K).agg(
+        F.sum(F.when(outside, F.col("cnt")).otherwise(F.lit(0))).alias("outliers_iqr"))
     names = spark.createDataFrame([(c,) for c in columns], f"{D.K} string")
     return names.join(counts, D.K, "left").select(
         D.K, F.coalesce(F.col("outliers_iqr"), F.lit(0)).cast("long").alias("outliers_iqr"))
