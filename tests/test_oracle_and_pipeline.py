@@ -12,7 +12,7 @@ from orbita.plans import pipeline as P
 TABLES = "region nation customer supplier part orders lineitem events".split()
 FAST = ["kpis_grid", "validate_sources", "validate_ids", "id_compat", "integrate", "impute_median", "cleaning_report",
         "analytic", "tier_cuts", "kpi_matrix", "folds", "roc_auc", "user_vs_segment", "score_input_split",
-        "published_tables"]
+        "published_tables", "manifest", "column_medians"]
 
 
 @pytest.fixture(scope="module")
