@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path, shuffle_partitions
-from . import common, packing, token_store
+from . import common, line_dedup, packing, sharding, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,3 +38,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.documents(spark, sf_dir), tokenizer_path())
+
+
+@register("op6_line_dedup", line_dedup.ORACLE)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(common.documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
+
+
+@register("op8_sharding")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(common.documents(spark, sf_dir))
