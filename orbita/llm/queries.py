@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path, shuffle_partitions
-from . import common, line_dedup, packing, sharding, token_store
+from . import common, line_dedup, packing, sharding, simhash, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@register("op1_simhash")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(common.documents(spark, sf_dir), shingle=3, radius=2)
+
+
 @register("op4_token_store")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
