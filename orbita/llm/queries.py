@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path, shuffle_partitions
-from . import common, line_dedup, packing, sharding, simhash, token_store
+from . import common, line_dedup, packing, quality, sharding, simhash, token_store, weak_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,3 +53,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_sharding")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(common.documents(spark, sf_dir))
+
+
+@register("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(common.documents(spark, sf_dir), common.table(spark, sf_dir, "labels"))
+
+
+@register("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_rules.judge(common.documents(spark, sf_dir))
