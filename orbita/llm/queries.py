@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path, shuffle_partitions
-from . import common, line_dedup, packing, quality, sharding, simhash, token_store, weak_rules
+from . import common, decontaminate, line_dedup, packing, quality, sharding, simhash, token_store, weak_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +33,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(common.documents(spark, sf_dir), shingle=3, radius=2)
 
 
+@register("op3_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(common.documents(spark, sf_dir), common.table(spark, sf_dir, "benchmark"))
+
+
 @register("op4_token_store")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
