@@ -117,8 +117,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFram
 
         for batch in batches:
             full = []
-            for doc_id, raw in zip(batch.column(0).to_pylist(), enc.encode_all(batch.column(1).to_pylist())):
-                ids = np.append(np.frombuffer(raw, "<u4"), np.uint32(END_ID)).astype("<u4")
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode_all(batch.column(1).to_pylist())):
+                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 key, whole = (doc_id, len(ids)), len(ids) - len(ids) % window
                 full += [[(key, at, ids[at:at + window])] for at in range(0, whole, window)]
                 if whole < len(ids):

@@ -66,7 +66,7 @@ def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> byte
 
 def _train(docs: DataFrame, encoder: bpe.Encoder, dtype: str) -> bytes:
     rows = docs.select(F.substring(text_or_empty(), 1, SAMPLE_CHARS).alias("t")).limit(SAMPLE_DOCUMENTS).collect()
-    return train_dictionary([np.frombuffer(i, "<u4").astype(dtype).tobytes()
+    return train_dictionary([i.astype(dtype).tobytes()
                              for i in encoder.encode_all([r.t for r in rows])])
 
 
@@ -119,8 +119,8 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, partitions: int
         for batch in batches:
             if batch.num_rows:
                 part = batch.column(2)[0].as_py()
-            for doc_id, raw in zip(batch.column(0).to_pylist(), enc.encode_all(batch.column(1).to_pylist())):
-                values = np.concatenate([np.frombuffer(raw, "<u4").astype(dtype), end])
+            for doc_id, ids_of in zip(batch.column(0).to_pylist(), enc.encode_all(batch.column(1).to_pylist())):
+                values = np.concatenate([ids_of.astype(dtype), end])
                 frame = press.compress(values.tobytes())
                 size += len(frame)
                 ids.append(doc_id)
