@@ -26,6 +26,8 @@ MIN_SITES = 8
 MIN_CHARS = 20
 #: Relative error of the sketches (128 registers).
 SKETCH_ERROR = 0.1
+#: Share of its characters that a document may lose and stay in the pipeline.
+MAX_LOST = 0.5
 
 
 def _lines(text: str) -> Column:
@@ -59,8 +61,10 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         near.join(exact.select("a", "b"), ["a", "b"]).select("a", "b", "first"))
 
 
-def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with boilerplate lines removed from ``text``, and ``n_lines``, ``n_removed``, ``n_removed_chars``."""
+def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS,
+                counts: tuple[str, str, str] = ("n_lines", "n_removed", "n_removed_chars")) -> DataFrame:
+    """``docs`` with boilerplate lines removed from ``text``, and three counts under the given names
+    (a column of ``docs`` of such a name is replaced)."""
     lines = written(line_table(docs, site, min_chars), "lines")
     hits = lines.join(boilerplate(lines, min_sites), ["a", "b"])
     stays = (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))
@@ -82,12 +86,26 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     touched = F.col(gone).isNotNull()
     clean = F.when(touched, F.array_join(left, "\n")).otherwise(F.col("text"))
     columns = [clean.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns
-               if c not in ("n_lines", "n_removed", "n_removed_chars")]
+               if c not in counts]
     n = F.coalesce(F.size(split), F.lit(0))
     return marked.select(
-        *columns, F.greatest(n, F.lit(0)).cast("long").alias("n_lines"),
-        F.when(touched, F.size(split) - F.size(left)).otherwise(0).cast("long").alias("n_removed"),
-        F.when(touched, F.char_length("text") - F.char_length(clean)).otherwise(0).cast("long").alias("n_removed_chars"))
+        *columns, F.greatest(n, F.lit(0)).cast("long").alias(counts[0]),
+        F.when(touched, F.size(split) - F.size(left)).otherwise(0).cast("long").alias(counts[1]),
+        F.when(touched, F.char_length("text") - F.char_length(clean)).otherwise(0).cast("long").alias(counts[2]))
+
+
+def clean_documents(docs: DataFrame, site: str = "source") -> DataFrame:
+    """``docs`` with cleaned ``text`` (and ``n_chars`` to match), without the documents that this leaves
+    blank or that lose two lines or more and over ``MAX_LOST`` of their characters: copies of others."""
+    counts = tuple(fresh(docs, "_" + c) for c in ("lines", "removed", "lost"))
+    out = dedup_lines(docs, site, counts=counts)
+    removed, lost = F.col(counts[1]), F.col(counts[2])
+    blank = F.btrim("text", F.lit(" \t\n\r\x0b\x0c")) == ""
+    copied = (removed >= 2) & (lost > F.lit(MAX_LOST) * (lost + F.char_length("text")))
+    out = out.where((removed == 0) | ~(blank | copied))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(removed > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE = f"""

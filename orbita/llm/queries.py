@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path, shuffle_partitions
-from . import common, decontaminate, line_dedup, packing, quality, sharding, simhash, token_store, weak_rules
+from . import chat, common, decontaminate, html_crf, line_dedup, packing, quality, sharding, simhash, token_store, weak_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +33,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(common.documents(spark, sf_dir), shingle=3, radius=2)
 
 
+@register("op2_html_extraction")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract(common.table(spark, sf_dir, "pages"))
+
+
 @register("op3_decontamination")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(common.documents(spark, sf_dir), common.table(spark, sf_dir, "benchmark"))
@@ -68,3 +73,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_quality_rules")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_rules.judge(common.documents(spark, sf_dir))
+
+
+@register("op10_chat_formatting")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(common.table(spark, sf_dir, "conversations"))
