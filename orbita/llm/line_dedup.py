@@ -26,8 +26,8 @@ MIN_SITES = 8
 MIN_CHARS = 20
 #: Relative error of the sketches (128 registers).
 SKETCH_ERROR = 0.1
-#: Share of its characters that a document may lose and stay in the pipeline.
-MAX_LOST = 0.5
+#: What makes a document that loses lines a copy of another (pipeline stage).
+COPY_LINES, COPY_SHARE = 3, 0.5
 
 
 def _lines(text: str) -> Column:
@@ -62,17 +62,22 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS,
-                counts: tuple[str, str, str] = ("n_lines", "n_removed", "n_removed_chars")) -> DataFrame:
-    """``docs`` with boilerplate lines removed from ``text``, and three counts under the given names
-    (a column of ``docs`` of such a name is replaced)."""
+                counts: tuple[str, ...] = ("n_lines", "n_removed", "n_removed_chars", "n_from_one")) -> DataFrame:
+    """``docs`` with boilerplate lines removed from ``text``, and counts under the given names (a column of
+    ``docs`` of such a name is replaced): lines, lines and characters removed, and the most different
+    removed lines that stay in one and the same other document."""
     lines = written(line_table(docs, site, min_chars), "lines")
     hits = lines.join(boilerplate(lines, min_sites), ["a", "b"])
     stays = (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))
              & (F.col("body") == F.col("first.body")))
     # Distinct lines of one document, and where (of those that begin here) they stay.
     gone, kept, given, whole = (fresh(docs, c) for c in ("_gone", "_kept", "_id", "_body"))
-    marks = hits.groupBy(F.col("doc_id").alias(given), F.col("body").alias(whole)).agg(
-        F.collect_set("a").alias(gone), F.collect_set(F.when(stays, F.col("pos"))).alias(kept))
+    marks = (hits.groupBy(F.col("doc_id").alias(given), F.col("body").alias(whole), F.col("first.doc_id").alias("source"))
+             .agg(F.collect_set(F.when(~stays, F.col("a"))).alias("away"), F.collect_set("a").alias("all"),
+                  F.collect_set(F.when(stays, F.col("pos"))).alias("here"))
+             .groupBy(given, whole).agg(F.array_distinct(F.flatten(F.collect_list("all"))).alias(gone),
+                                        F.flatten(F.collect_list("here")).alias(kept),
+                                        F.max(F.size("away")).alias(counts[3])))
     marked = docs.withColumn(whole + "x", F.xxhash64("text")).join(
         marks, F.col("doc_id").eqNullSafe(F.col(given)) & (F.col(whole + "x") == F.col(whole)), "left")
 
@@ -91,17 +96,19 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     return marked.select(
         *columns, F.greatest(n, F.lit(0)).cast("long").alias(counts[0]),
         F.when(touched, F.size(split) - F.size(left)).otherwise(0).cast("long").alias(counts[1]),
-        F.when(touched, F.char_length("text") - F.char_length(clean)).otherwise(0).cast("long").alias(counts[2]))
+        F.when(touched, F.char_length("text") - F.char_length(clean)).otherwise(0).cast("long").alias(counts[2]),
+        F.coalesce(F.col(counts[3]), F.lit(0)).cast("long").alias(counts[3]))
 
 
 def clean_documents(docs: DataFrame, site: str = "source") -> DataFrame:
-    """``docs`` with cleaned ``text`` (and ``n_chars`` to match), without the documents that this leaves
-    blank or that lose two lines or more and over ``MAX_LOST`` of their characters: copies of others."""
-    counts = tuple(fresh(docs, "_" + c) for c in ("lines", "removed", "lost"))
+    """``docs`` with cleaned ``text`` (and ``n_chars`` to match), without the copies that this uncovers:
+    documents that it leaves blank, or whose lost characters are over ``COPY_SHARE`` of all, with
+    ``COPY_LINES`` lines or more staying in one other document."""
+    counts = tuple(fresh(docs, "_" + c) for c in ("lines", "removed", "lost", "from_one"))
     out = dedup_lines(docs, site, counts=counts)
     removed, lost = F.col(counts[1]), F.col(counts[2])
     blank = F.btrim("text", F.lit(" \t\n\r\x0b\x0c")) == ""
-    copied = (removed >= 2) & (lost > F.lit(MAX_LOST) * (lost + F.char_length("text")))
+    copied = (F.col(counts[3]) >= COPY_LINES) & (lost > F.lit(COPY_SHARE) * (lost + F.char_length("text")))
     out = out.where((removed == 0) | ~(blank | copied))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(removed > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
