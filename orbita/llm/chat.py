@@ -37,7 +37,7 @@ MARKERS = {
     "assistant": "assistant|ai|bot|answer|a|response|model|gpt|agent|chatbot|output|support",
 }
 _KNOWN = {name: role for role, names in MARKERS.items() for name in names.split("|")}
-_MARKER = re.compile(r"^\s*(?:#{1,4}\s*|\*\*|<\|?|\[)?\s*([A-Za-z][A-Za-z .]{0,19}?)\s*(?:\*\*\s*:|:\s*\*\*|\|?>|\]:?|:)\s*(.*)$", re.S)
+_MARKER = re.compile(r"^\s*(?:#{1,4}\s*|\*\*|<\|?|\[)?\s*([A-Za-z][A-Za-z .]{0,19}?)\s*(?:\*\*\s*:|:\s*\*\*|\|?>|\]:?|:(?=\s|$))\s*(.*)$", re.S)
 _KINDS = {"none": 0, "system": 1, "user": 2, "assistant": 3, "name": 4}
 OBSERVATIONS = (len(_KINDS), 2, 4, 2)
 

@@ -290,6 +290,13 @@ TEMPLATES = [
     "<nav class=breadcrumb><a>T</a></nav><article data-label=main><h1>T</h1><p>T</p><p>T</p><p>P</p><figure><figcaption>S</figcaption></figure><table><tr><td>T</td><td>T</td></tr></table><p>P</p></article><article class=comment><p>P</p></article><article class=comment><p>S</p></article><aside class=promo><p>P</p></aside><form><p>S</p><label>T</label></form><footer>T</footer>",
     "<body><div class=notice>P</div><header><h2>T</h2></header><div class='story body' data-label=main><p>P</p><p>P</p><dl><dt>T</dt><dd>S</dd></dl></div><section class=sponsored><h3>T</h3><p>P</p></section><aside><p>P</p></aside><div class=discussion><p>P</p><p>P</p></div><footer><address>T</address><p>P</p></footer>",
     "<nav><a>T</a></nav><aside class=notice><p>S</p></aside><article><h1 data-label=main>T</h1><p data-label=main>P</p><p data-label=main>S</p><nav><a>T</a><a>T</a></nav><section class=comments><p>S</p><p>S</p></section><footer><p>S</p></footer></article><form><p>S</p></form><footer>T</footer>",
+    "<article data-label=main><h1>T</h1><p>P</p></article>",
+    "<article data-label=main><p>S</p></article>",
+    "<nav><a>T</a></nav><article data-label=main><p>T</p></article>",
+    "<main data-label=main><p>T</p></main>",
+    "<article data-label=main><h1>T</h1><p>T</p></article><footer>&copy; T</footer>",
+    "<div class=content data-label=main><p>S</p><p>P</p></div>",
+    "<h1 data-label=main>T</h1><p data-label=main>P</p><p data-label=main>S</p>",
 ]
 
 

@@ -79,7 +79,7 @@ def fit(v: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np
             p[:, 0, k + 1] = (1 - post) @ hit
         p = (p + 0.5) / (p + 0.5).sum(axis=2, keepdims=True)
         new = posterior(v, prior, p)
-        done = np.abs(new - post).max() < 1e-7
+        done = not len(post) or np.abs(new - post).max() < 1e-7
         post = new
         if done:
             break
