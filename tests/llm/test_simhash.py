@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from helpers import clashing, docs, edge_rows, words
 from hypothesis import given, settings
@@ -88,12 +89,13 @@ def components_of(n, edges):
     return [find(i) for i in range(n)]
 
 
-def test_links_over_split_tiles_give_all_components(spark):
+@pytest.mark.parametrize("segments", [1, 4, 8])
+def test_links_over_split_tiles_give_all_components(spark, segments):
     rng = random.Random(7)
     fps = near_values(rng, groups=60, size=14)
     signed = [v - (1 << 64) if v >> 63 else v for v in fps]
     df = spark.createDataFrame([(v,) for v in signed], "fp long")
-    found = simhash.links(df, "fp", 2, tile=2).collect()
+    found = simhash.links(df, "fp", 2, tile=2, segments=segments).collect()
     assert components_of(len(fps), [(signed.index(r.a), signed.index(r.b)) for r in found]) == brute_components(fps, 2)
 
 
