@@ -287,6 +287,33 @@ def k_sweep(scaled: DataFrame, n_rows: int, seed: int = RANDOM_STATE, k_min: int
     return Sweep(table, {k: best[k][0] for k in ks})
 
 
+def silhouette_given(scaled: DataFrame, label: str, features: list[str] = KMEANS_FEATURES) -> DataFrame:
+    """Mean squared-Euclidean silhouette of each segment, for labels that are given.
+
+    Mean squared distances to a segment follow from its size, its vector sum and its sum of
+    squared norms, so no pair is formed: one aggregate over the rows (segments x
+    features numbers on the driver), then one expression per row.  A segment of one row scores 0.
+    """
+    norm = sum((F.col(f) * F.col(f) for f in features[1:]), F.col(features[0]) * F.col(features[0]))
+    sums = scaled.groupBy(label).agg(F.count("*").alias("n"), F.sum(norm).alias("q"),
+                                     *[F.sum(f).alias(f) for f in features]).collect()
+
+    def total(r):  # squared distances from the row to all rows of the segment
+        dot = sum((F.col(f) * F.lit(r[f]) for f in features[1:]), F.col(features[0]) * F.lit(r[features[0]]))
+        return F.lit(r["n"]) * norm + F.lit(r["q"]) - F.lit(2.0) * dot
+
+    def is_own(r):
+        return F.col(label).eqNullSafe(F.lit(r[label]))
+
+    own = F.coalesce(*[F.when(is_own(r), total(r) / F.lit(max(r["n"] - 1, 1))) for r in sums])
+    single = F.coalesce(*[F.when(is_own(r), F.lit(r["n"] == 1)) for r in sums])
+    others = [F.when(~is_own(r), total(r) / F.lit(r["n"])) for r in sums]
+    near = F.least(*others) if len(others) > 1 else F.lit(None).cast("double")
+    s = F.when(single | near.isNull(), 0.0).otherwise((near - own) / F.greatest(near, own))
+    return scaled.select(label, s.alias("_silhouette")).groupBy(label).agg(
+        F.count("*").alias("usuarios"), F.avg("_silhouette").alias("silhouette_sq"))
+
+
 def choose_k(rows: list) -> tuple[int, str]:
     """Elbow of inertia vs k, else the k with the largest silhouette."""
     rows = sorted(rows, key=lambda r: r[0])

@@ -95,6 +95,18 @@ def q_validate_profile(spark, sf):
     return V.validate_source(tpch.profile_source(spark, sf), PROFILE_COLUMNS, V.PROFILE_SOURCE)
 
 
+_COLUMN_CODES = ("NULL_VALUES", "NON_NUMERIC_VALUES", "CONVERTIBLE_NUMERIC_TYPE", "INFINITE_VALUES")
+
+
+@register("validate_columns", O.with_chain("SELECT * FROM (" + O.source_issues_sql(
+    "behaviour_src", BEHAVIOUR_COLUMNS, BEHAVIOUR_COLUMNS, V.BEHAVIOUR_SOURCE, _B_TEXT, _B_FLOAT)
+    + f") WHERE code IN {_COLUMN_CODES}"))
+def q_validate_columns(spark, sf):
+    """The checks of single columns (nulls, text, type, infinities) on the behaviour source."""
+    issues = V.validate_source(sources(spark, sf)[0], BEHAVIOUR_COLUMNS, V.BEHAVIOUR_SOURCE)
+    return issues.where(F.col("code").isin(*_COLUMN_CODES))
+
+
 _B_NO_SPEND = [c for c in BEHAVIOUR_COLUMNS if c != "gasto_mensual"]
 
 

@@ -387,6 +387,49 @@ def q_scale_features(spark, sf):
     return z.select(ID, *[round_half_even(c, 6).alias(c) for c in KMEANS_FEATURES])
 
 
+@register("centroids", O.with_chain(
+    f"SELECT valor_cliente, {', '.join(O.rnd(f'avg({c})', 6) + f' AS {c}' for c in KMEANS_FEATURES)} "
+    "FROM analytic GROUP BY valor_cliente"))
+def q_centroids(spark, sf):
+    """Centroids in original units, for given labels (the value tiers)."""
+    from ..functions.numeric import round_half_even
+    means = analytic(spark, sf).groupBy("valor_cliente").agg(*[F.avg(c).alias(c) for c in KMEANS_FEATURES])
+    return means.select("valor_cliente", *[round_half_even(c, 6).alias(c) for c in KMEANS_FEATURES])
+
+
+def _silhouette_sql() -> str:
+    f = KMEANS_FEATURES
+    z = ", ".join(f"{_z_raw(c)} AS {c}" for c in f)
+    norm = " + ".join(f"{c} * {c}" for c in f)
+    dot = " + ".join(f"p.{c} * s.{c}" for c in f)
+    return f"""
+SELECT valor_cliente, count(*) AS usuarios, {O.rnd('avg(s)', 6)} AS silhouette_sq FROM (
+  SELECT id_cliente, valor_cliente, CASE WHEN max(n_own) = 1 THEN {O.d(0)}
+         ELSE (min(other) - max(own)) / greatest(min(other), max(own)) END AS s
+  FROM (SELECT p.id_cliente, p.valor_cliente, CASE WHEN s.t = p.valor_cliente THEN s.n END AS n_own,
+               CASE WHEN s.t = p.valor_cliente THEN (s.n * p.q + s.q - 2 * ({dot})) / greatest(s.n - 1, 1) END AS own,
+               CASE WHEN s.t <> p.valor_cliente THEN (s.n * p.q + s.q - 2 * ({dot})) / s.n END AS other
+        FROM (SELECT *, {norm} AS q FROM (SELECT id_cliente, valor_cliente, {z} FROM analytic)) p,
+             (SELECT valor_cliente AS t, count(*) AS n, sum({norm}) AS q, {', '.join(f'sum({c}) AS {c}' for c in f)}
+              FROM (SELECT valor_cliente, {z} FROM analytic) GROUP BY valor_cliente) s)
+  GROUP BY id_cliente, valor_cliente) GROUP BY valor_cliente"""
+
+
+def _z_raw(c: str) -> str:
+    sd = f"stddev_pop(CAST({c} AS DOUBLE)) OVER ()"
+    return f"((CAST({c} AS DOUBLE) - avg(CAST({c} AS DOUBLE)) OVER ()) / CASE WHEN {sd} = 0 THEN {O.d(1)} ELSE {sd} END)"
+
+
+@register("silhouette_tiers", O.with_chain(_silhouette_sql()))
+def q_silhouette_tiers(spark, sf):
+    """Squared-Euclidean silhouette of the value tiers on the scaled segmentation features."""
+    from ..functions.numeric import round_half_even
+    data = analytic(spark, sf)
+    scaled = SG.scale(data, SG.scaler_stats(data).collect(), keep=[ID, "valor_cliente"], vector=False)
+    out = SG.silhouette_given(scaled, "valor_cliente")
+    return out.withColumn("silhouette_sq", round_half_even("silhouette_sq", 6))
+
+
 @register("supervised_input", O.with_chain(
     f"SELECT id_cliente, is_test, gasto_mensual, riesgo_bajo_compromiso, "
     f"{', '.join(c for c in REGRESSION_FEATURES)} FROM labelled"))

@@ -81,3 +81,27 @@ def test_batched_restarts_match_brute_force(spark):
     best3 = min(fits[c][1] for c, (k, _) in enumerate(configs) if k == 3)
     best2 = min(fits[c][1] for c, (k, _) in enumerate(configs) if k == 2)
     assert best3 < 0.5 * best2
+
+
+def test_silhouette_of_given_labels_matches_pairs(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    rows = [(["a", "b", "b", "c"][int(rng.integers(4))], *map(float, rng.normal(size=3))) for _ in range(40)]
+    rows.append(("alone", 0.0, 0.0, 0.0))
+    got = {r.s: r for r in SG.silhouette_given(spark.createDataFrame(rows, "s string, x double, y double, z double"), "s",
+                                               ["x", "y", "z"]).collect()}
+    x, label = np.array([r[1:] for r in rows]), np.array([r[0] for r in rows])
+    dist = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    for seg in set(label):
+        values = []
+        for i in np.flatnonzero(label == seg):
+            own = label == seg
+            if own.sum() == 1:
+                values.append(0.0)
+                continue
+            a = dist[i][own].sum() / (own.sum() - 1)
+            b = min(dist[i][label == o].mean() for o in set(label) - {seg})
+            values.append((b - a) / max(a, b))
+        assert abs(got[seg].silhouette_sq - np.mean(values)) < 1e-9 and got[seg].usuarios == len(values)
+    one = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "s string, x double")
+    assert [r.silhouette_sq for r in SG.silhouette_given(one, "s", ["x"]).collect()] == [0.0]
