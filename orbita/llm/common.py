@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-#: Rows of one Arrow batch on its way to a Python worker.  Long documents make
-#: a batch large, so it is kept well under Spark's default of 10,000 rows.
-ARROW_ROWS = 512
+#: Rows and bytes of one Arrow batch on its way to a Python worker, well under Spark's
+#: defaults of 10,000 rows and 64 MB: a worker holds one batch and what is made of it.
+ARROW_ROWS, ARROW_BYTES = 512, "8m"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bound_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Keep Arrow batches small (memory of a worker: one batch of texts)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -27,13 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bound_batches, fresh
-from .words import NOT_ALNUM, Words, shingle_hashes
+from .words import NOT_ALNUM, Words, portions, shingle_hashes
 
 SHINGLE, THRESHOLD, RADIUS = 5, 0.8, 7
 #: Items of one index; a larger benchmark is matched block by block.
 BLOCK_ITEMS = 5000
 #: Words fingerprinted in one go: bounds memory for very long texts.
-STEP = 1 << 17
+STEP = 1 << 16
 #: Places around the implied one that are verified too (words put in or left out).
 SLACK = 2
 
@@ -181,12 +181,15 @@ class Index:
 
     def match(self, texts: list[str | None]) -> list[list[tuple]]:
         """Per text, its items as ``(item_id, similarity, first word)``, the best place of each."""
-        words = Words([(t or "").lower() for t in texts], NOT_ALNUM)
+        lower = [(t or "").lower() for t in texts]
+        return [found for a, b in portions(lower) for found in self._match(Words(lower[a:b], NOT_ALNUM))]
+
+    def _match(self, words: Words) -> list[list[tuple]]:
         raw = words.raw.tobytes()
         places: dict[tuple[int, int], set[int]] = {}
         for text, item, place in self.candidates(words):
             places.setdefault((text, item), set()).update(range(place - SLACK, place + SLACK + 1))
-        out: list[list[tuple]] = [[] for _ in texts]
+        out: list[list[tuple]] = [[] for _ in words.counts]
         for (text, item), starts in sorted(places.items()):
             first, n, size = int(words.first[text]), int(words.counts[text]), len(self.words[item])
             best = (0.0, 0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .words import Words, per_text, repeated_coverage
+from .words import Words, per_text, portions, repeated_coverage
 
 #: Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -42,6 +42,11 @@ def duplicate_lines(text: str) -> tuple[int, int]:
 
 def count(texts: list[str]) -> dict[str, np.ndarray]:
     """One array per name of ``COLUMNS``, one value per text."""
+    parts = [_count(texts[a:b]) for a, b in portions(texts)]
+    return {c: np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, dtype=np.int64) for c in COLUMNS}
+
+
+def _count(texts: list[str]) -> dict[str, np.ndarray]:
     w = Words(texts)
     n, owner, raw = len(texts), w.owner(), w.raw
     total = lambda values: np.bincount(owner, weights=values, minlength=n).astype(np.int64)

@@ -31,6 +31,21 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+#: Characters of texts that are cut into words at once (about 40 bytes of arrays for each byte).
+BATCH_CHARS = 2 << 20
+
+
+def portions(texts: list[str]) -> list[tuple[int, int]]:
+    """Ranges of texts of about ``BATCH_CHARS`` characters; a longer text is alone."""
+    out, begin, size = [], 0, 0
+    for k, t in enumerate(texts):
+        if k > begin and size + len(t) > BATCH_CHARS:
+            out.append((begin, k))
+            begin, size = k, 0
+        size += len(t)
+    return [*out, (begin, len(texts))] if texts else []
+
+
 class Words:
     """``hashes`` of all words in order, ``first[i]:first[i + 1]`` those of text i, and their byte
     ``start`` and ``size`` in ``raw`` (all texts' bytes, each followed by a line feed); text i begins
