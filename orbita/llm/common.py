@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
 
 #: Rows and bytes of one Arrow batch on its way to a Python worker, well under Spark's
 #: defaults of 10,000 rows and 64 MB: a worker holds one batch and what is made of it.
@@ -23,7 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Keep Arrow batches small (memory of a worker: one batch of texts)."""
+    """Before Python workers are used: keep Arrow batches small (a worker holds one), and ship this package."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 

@@ -1,8 +1,8 @@
 """Quality rules as weak supervision: rules vote or abstain, expectation-maximisation weighs them.
 
 Each rule votes bad (-1), good (1) or abstains (0).  A hidden class (good or bad)
-explains the votes: given the class, rules vote independently with their own
-probabilities (accuracy and abstention).  EM estimates those from the counts of all
+explains the votes: given the class, rules that vote do so independently, each with its own
+accuracy for either class.  EM estimates those from the counts of all
 vote patterns over all documents; patterns are at most 3^rules, so the driver holds
 a bounded table.  A document is kept if it passes the base checks and its posterior
 probability of good is ``KEEP`` or more.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from . import features
 from .common import bound_batches, text_or_empty, written
 
-KEEP = 0.5
+KEEP = 0.9
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -61,23 +61,21 @@ def decode(code: np.ndarray, rules: int = RULES) -> np.ndarray:
 
 
 def fit(v: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray]:
-    """Prior of good and ``p[rule, class, vote + 1]`` from distinct vote rows and how often each occurs.
+    """Prior of good and accuracies ``p[rule, class]``: how often a rule that votes is right about that class.
 
-    Starts from rules that are mostly right, so that the classes keep their names, and a
-    bad class that one bad vote in a row of good ones already suggests.
+    Abstentions say nothing about the class.  EM starts from rules that are mostly right, so that the
+    classes keep their names, and from a bad class that one bad vote among good ones already suggests.
     """
     rules = v.shape[1]
     bad, good = (v == -1).sum(axis=1), (v == 1).sum(axis=1)
     post = np.where(bad > 0, np.clip(0.5 + (good - 3.0 * bad) / (4.0 * rules), 0.05, 0.9), 0.95)
     weight = counts.astype(float)
+    says_bad, says_good = (v == -1) * weight[:, None], (v == 1) * weight[:, None]
     for _ in range(rounds):
         prior = (weight @ post + 1) / (weight.sum() + 2)
-        p = np.empty((rules, 2, 3))
-        for k in (-1, 0, 1):
-            hit = (v == k) * weight[:, None]
-            p[:, 1, k + 1] = post @ hit
-            p[:, 0, k + 1] = (1 - post) @ hit
-        p = (p + 0.5) / (p + 0.5).sum(axis=2, keepdims=True)
+        p = np.empty((rules, 2))
+        for k, (klass, right) in enumerate(((1 - post, says_bad), (post, says_good))):
+            p[:, k] = (klass @ right + 1) / (klass @ (says_bad + says_good) + 2)
         new = posterior(v, prior, p)
         done = not len(post) or np.abs(new - post).max() < 1e-7
         post = new
@@ -87,10 +85,9 @@ def fit(v: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np
 
 
 def posterior(v: np.ndarray, prior: float, p: np.ndarray) -> np.ndarray:
-    logs = np.log(p)
-    rule = np.arange(v.shape[1])
-    good = np.log(prior) + logs[rule, 1, v + 1].sum(axis=1)
-    bad = np.log1p(-prior) + logs[rule, 0, v + 1].sum(axis=1)
+    """Probability of good: by Bayes' rule from the votes that were cast."""
+    good = (v == 1) @ np.log(p[:, 1]) + (v == -1) @ np.log1p(-p[:, 1]) + np.log(prior)
+    bad = (v == -1) @ np.log(p[:, 0]) + (v == 1) @ np.log1p(-p[:, 0]) + np.log1p(-prior)
     return 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
 
 
