@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -67,6 +68,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the executors' Python workers, once per application.
+
+    Functions in ``mapInPandas`` and the like are found by module name, which a
+    worker can only import where the package is installed or shipped.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="orbita-package-"), "orbita.zip")  # on the driver; Spark serves it
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(package):
+            for name in sorted(f for f in files if f.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.join("orbita", os.path.relpath(full, package)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
