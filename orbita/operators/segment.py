@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 from ..contracts import (ID, K_MAX, K_MIN, KMEANS_FEATURES, KMEANS_RESTARTS, MIN_KMEANS_ROWS, RANDOM_STATE,
                          ModelTrainingError)
 from ..functions.kneedle import elbow_convex_decreasing
+from ..session import ship_package
 
 VEC = "features_vec"
 
@@ -221,6 +222,7 @@ def kmeans_restarts(points: DataFrame, features: list[str], configs: list, id_co
     job per restart per iteration; only centres (bounded by the parameters)
     reach the driver.  Returns cfg -> (centres, inertia).
     """
+    ship_package(points.sparkSession)
     pts = points.select(id_col, *features)
     d = len(features)
     var = pts.agg(*[F.var_pop(f).alias(f) for f in features]).first()
