@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,13 +31,14 @@ from .common import bound_batches
 
 #: Pages of the table that are trained on beside the templates.
 MAX_PAGES = 200
-FILLINGS = 12
+FILLINGS = 6
 ROUNDS, RATE, RIDGE, SEED = 150, 0.15, 1e-3, 5
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
                   r"((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?(?:false|until))|display\s*:\s*none""", re.I)
 _NAMES = re.compile(r"""\b(class|id|role|data-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")  # parts of camelCase names are words
 
 # Element names of HTML.
 RAW = {"script", "style", "noscript", "template", "textarea", "svg", "iframe", "title", "math", "select"}
@@ -124,11 +126,13 @@ def leaf_blocks(page: str | None) -> list[Block]:
         words, label = (), ""
         if "=" in m[3]:
             for key, *values in _NAMES.findall(m[3]):
-                value = next((v for v in values if v), "").lower()
+                value = next((v for v in values if v), "")
                 if key.lower() == "data-label":
                     label = value
                 else:
-                    words += tuple(_WORD.findall(value))
+                    words += tuple(w.lower() for w in _WORD.findall(value))
+        if m[3] and _HIDDEN.search(m[3]):
+            words += ("hidden",)
         stack.append((name, words, label))
         links += name == "a"
     flush()
@@ -142,13 +146,27 @@ NAME_GROUPS = {
     "foot": "footer foot colophon copyright legal bottom contentinfo",
     "side": "sidebar side aside rail complementary widget widgets related recommended popular trending archive tags",
     "notice": "notice cookie cookies consent gdpr alert warning popup modal overlay dialog message",
-    "ad": "ad ads advert advertisement adverts advertising sponsor sponsored promo promoted promotion adsense commercial",
+    "ad": "ad ads adbox adslot advert advertisement adverts advertising sponsor sponsored promo promoted promotion adsense commercial",
     "form": "form search login signin signup subscribe subscription newsletter contact input",
     "comment": "comment comments discussion reply replies respond disqus responses feedback reader",
     "social": "share sharing social follow like tweet",
-    "main": "article content main post entry story body text body-text blog page prose",
+    "hide": "hidden invisible",
+    "main": "article content main post entry story body text prose",
 }
 _GROUP = {w: g for g, words in NAME_GROUPS.items() for w in words.split()}
+_LONG = sorted((w for w in _GROUP if len(w) >= 5), key=lambda w: (_GROUP[w] == "main", -len(w), w))
+
+
+@lru_cache(maxsize=100_000)
+def group(word: str) -> str | None:
+    """What a word of a name usually holds; compounds ("commentlist", "topnav") by a known part."""
+    known = _GROUP.get(word)
+    if known is None:
+        part = next((w for w in _LONG if w in word), None)
+        known = _GROUP[part] if part else "menu" if word.endswith("nav") else "ad" if word.startswith("ads") else None
+    return known
+
+
 _ELEMENTS = ["nav", "header", "footer", "aside", "form", "article", "main", "section", "ul", "ol", "li", "table", "p", "h1",
              "h2", "h3", "h4", "blockquote", "pre", "figure", "figcaption", "dl", "button", "label", "fieldset", "dialog",
              "details", "div", "address", "menu", "td"]
@@ -173,7 +191,7 @@ def featurize(blocks: list[Block]) -> list[list[int]]:
             block = next((e for e in reversed(b.path) if e not in INLINE), "")
             if "at:" + block in _INDEX:
                 top.append(_INDEX["at:" + block])
-            groups = [_GROUP[w] for w in b.names if w in _GROUP]
+            groups = [g for g in map(group, b.names) if g]
             top += [_INDEX["name:" + g] for g in set(groups)]
             if groups:
                 top.append(_INDEX["last:" + groups[-1]])
@@ -290,6 +308,9 @@ TEMPLATES = [
     "<nav class=breadcrumb><a>T</a></nav><article data-label=main><h1>T</h1><p>T</p><p>T</p><p>P</p><figure><figcaption>S</figcaption></figure><table><tr><td>T</td><td>T</td></tr></table><p>P</p></article><article class=comment><p>P</p></article><article class=comment><p>S</p></article><aside class=promo><p>P</p></aside><form><p>S</p><label>T</label></form><footer>T</footer>",
     "<body><div class=notice>P</div><header><h2>T</h2></header><div class='story body' data-label=main><p>P</p><p>P</p><dl><dt>T</dt><dd>S</dd></dl></div><section class=sponsored><h3>T</h3><p>P</p></section><aside><p>P</p></aside><div class=discussion><p>P</p><p>P</p></div><footer><address>T</address><p>P</p></footer>",
     "<nav><a>T</a></nav><aside class=notice><p>S</p></aside><article><h1 data-label=main>T</h1><p data-label=main>P</p><p data-label=main>S</p><nav><a>T</a><a>T</a></nav><section class=comments><p>S</p><p>S</p></section><footer><p>S</p></footer></article><form><p>S</p></form><footer>T</footer>",
+    "<nav>T</nav><article><div data-label=main><h1>T</h1><p>P</p></div><form><p>S</p><label>T</label></form><p data-label=main>S</p><aside><h3>T</h3><p>P</p></aside><p data-label=main>P</p></article><form><label>T</label><p>S</p></form>",
+    "<main><div data-label=main><p>P</p><p>S</p></div><form>T</form><div data-label=main><p>S</p><ul><li>S</li><li>S</li></ul></div><section class=comments><ol><li>P</li><li>S</li></ol></section></main><div hidden><p>P</p></div>",
+    "<div class=content><div data-label=main><p>P</p></div><div class=promo><p>S</p></div><div data-label=main><p>S</p></div><form><p>S</p></form><aside><p>S</p></aside></div><ol class=comment><li>P</li><li>S</li></ol>",
     "<article data-label=main><h1>T</h1><p>P</p></article>",
     "<article data-label=main><p>S</p></article>",
     "<nav><a>T</a></nav><article data-label=main><p>T</p></article>",
@@ -300,6 +321,17 @@ TEMPLATES = [
 ]
 
 
+#: The article with something of each other kind inside it, and beside it.
+TEMPLATES += [
+    f"<{outer}><div data-label=main><h1>T</h1><p>P</p></div><div class={words.split()[0]}><h3>T</h3><p>S</p><p>P</p></div>"
+    f"<p data-label=main>S</p></{outer.split()[0]}><div class={words.split()[-1]}><p>S</p><p>P</p></div>"
+    for kind, words in NAME_GROUPS.items() if kind != "main" for outer in ("article class=story", "div class='main content'")]
+TEMPLATES += [
+    f"<{outer}><div data-label=main><h1>T</h1><p>P</p></div><{e}><h3>T</h3><p>S</p>T</{e}><p data-label=main>S</p>"
+    f"</{outer.split()[0]}><{e}><p>P</p></{e}>"
+    for e in ("aside", "form", "nav", "footer") for outer in ("article class=story", "div class='main content'", "main")]
+
+
 def fill(template: str, words: list[str], rng: np.random.Generator) -> str:
     def text(m):
         lengths = {"T": (1, 8), "S": (6, 25), "P": (25, 120)}[m[0]]
@@ -321,9 +353,9 @@ def labelled(sample: list[str]) -> list[tuple[list[list[int]], list[int]]]:
     other = {"nav", "header", "footer", "aside", "form"}
     for page in sample:
         if len(re.findall(r"<article\b", page, re.I)) == 1:
-            blocks = leaf_blocks(page)[:200]
+            blocks = leaf_blocks(page)[:40]
             pages.append((featurize(blocks), [int("article" in b.path and not other & set(b.path) and not any(
-                _GROUP.get(w, "main") != "main" for w in b.names)) for b in blocks]))
+                (group(w) or "main") != "main" for w in b.names)) for b in blocks]))
     return pages
 
 

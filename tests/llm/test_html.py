@@ -83,3 +83,27 @@ def test_edges(spark, chain):
     assert by[1].text == by[2].text == by[3].text == "" and by[None].text == "Some text here, yes."
     assert by[4].text == "cut &am" and by[5].text.count("\n") == 19999
     assert H.extract(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_random_layouts_with_unseen_names(chain):
+    rng = np.random.default_rng(8)
+    words = [w for w in "the river ran over cold stones, and nobody knew why it was so slow in early spring".split()]
+
+    def say(low, high):
+        return " ".join(words[i] for i in rng.integers(0, len(words), rng.integers(low, high))) + "."
+
+    other = ["<ul id='main-nav'><li><a href=x>{t}</a></li><li><a>{t}</a></li></ul>", "<div class=topnav><a>{t}</a></div>",
+             "<div id=siteHeader><p>{s}</p></div>", "<div class='gdpr-banner'><p>{p}</p></div>", "<div role=alert>{s}</div>",
+             "<div id='ad-slot-3'><a>{s}</a></div>", "<aside class=sponsoredLinks><p>{s}</p></aside>", "<div class=rightSidebar><p>{p}</p></div>",
+             "<form class=loginForm><p>{t}</p></form>", "<ol class=commentlist><li>{p}</li><li>{s}</li></ol>",
+             "<div class='user-comments'><article><p>{p}</p></article></div>", "<section id='reader-comments'><p>{s}</p></section>",
+             "<div class='newsletter-signup'><h3>{t}</h3><p>{s}</p></div>", "<div id=pageFooter><p>{p}</p></div>", "<div hidden><p>{p}</p></div>"]
+    wraps = ["article", "main", "div class=content", "div id='article-body'", "div class=post", "article class=story"]
+    right = 0
+    for _ in range(200):
+        body = f"<h1>{say(1, 7)}</h1>" + "".join(f"<p>{say(6, 60)}</p>" for _ in range(rng.integers(1, 7)))
+        put = [other[i].format(t=say(1, 5), s=say(6, 25), p=say(25, 80)) for i in rng.integers(0, len(other), 4)]
+        wrap = wraps[rng.integers(len(wraps))]
+        page = f"<body>{put[0]}{put[1]}<{wrap}>{body}</{wrap.split()[0]}>{put[2]}{put[3]}</body>"
+        right += H.main_text(chain, page) == "\n".join(b.text for b in H.leaf_blocks(body))
+    assert right >= 190
