@@ -35,7 +35,7 @@ FILLINGS = 6
 ROUNDS, RATE, RIDGE, SEED = 150, 0.15, 1e-3, 5
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
-                  r"((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+                  r"""((?:[^>"'=]|=\s*"[^"]*(?:"|\Z)|=\s*'[^']*(?:'|\Z)|["'=])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)""", re.S)
 _HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?(?:false|until))|display\s*:\s*none""", re.I)
 _NAMES = re.compile(r"""\b(class|id|role|data-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")  # parts of camelCase names are words

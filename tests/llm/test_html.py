@@ -68,6 +68,7 @@ def test_blocks():
                            "<ul><li>g<li><a href='x>y'>h</a></ul>tail<style>p{}")
     assert [b.text for b in blocks] == ["a bc d", "e < f", "g", "h", "tail"]
     assert blocks[3].linked == 1.0 and blocks[2].path == ["ul", "li"]
+    assert [b.text for b in H.leaf_blocks("<p x=it's y='a>b' z>one</p><p title=\"q>r\">two 'quoted'</p>")] == ["one", "two 'quoted'"]
     for odd in ("<", "<p", "</", "<a href=\"", "<!--", "<![CDATA[x", "<script>x", "a<b", "&", "<p>&am", "</p></div>x"):
         H.leaf_blocks(odd)
 
