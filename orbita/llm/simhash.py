@@ -170,7 +170,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     """``docs`` with one row of each component: that of the smallest doc_id (rows without one
     come last), of several texts with that id the one of the least hash, of equal rows one.
 
-    Texts move once, to be matched with the hashes of the rows that stay.
+    Texts move once, to be matched with the hashes of the rows that stay; equal rows are
+    merged before they move.
     """
     fp, row, key = (fresh(docs, c) for c in ("_fp", "_row", "_key"))
     keyed = docs.withColumn(row, F.xxhash64("doc_id", "text")).withColumn(
@@ -179,4 +180,4 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
         F.col(fp).alias("fp"), F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row")), "simhash")
     stay = grouped(rows, radius).groupBy("root").agg(F.min("first").alias("first")).select(
         F.col("first.row").alias(row), F.coalesce("first.doc_id", F.lit(-(1 << 63))).alias(key))
-    return keyed.join(stay, [row, key], "left_semi").dropDuplicates([row, key]).drop(row, key)
+    return keyed.dropDuplicates([row, key]).join(stay, [row, key], "left_semi").drop(row, key)
