@@ -248,3 +248,26 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_items: int =
         name = fresh(docs, "_found")
         docs = docs.withColumn(name, F.size(_matches(block, F.col("text")))).where(F.col(name) == 0).drop(name)
     return docs
+
+
+_WORDS = r"list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^0-9a-z\x{80}-\x{10FFFF}]+', ' ', 'g'), ' '), lambda x: x <> '')"
+#: Brute force: every item-sized window that shares a shingle with the item.
+ORACLE = f"""
+WITH b AS (SELECT item_id, w, len(w) AS n, least({SHINGLE}, len(w)) AS k
+           FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+bs AS (SELECT item_id, n, k, s, count(*) AS c
+       FROM (SELECT item_id, n, k, unnest(list_transform(range(1, n - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
+             FROM b) GROUP BY item_id, n, k, s),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+ds AS (SELECT doc_id, m, k, p, array_to_string(w[p + 1:p + k], ' ') AS s
+       FROM (SELECT doc_id, w, len(w) AS m, k, unnest(range(0, len(w) - k + 1)) AS p
+             FROM d, (SELECT DISTINCT k FROM b))),
+h AS (SELECT doc_id, item_id, n, ds.k, m, p, s, c FROM ds JOIN bs USING (k, s)),
+v AS (SELECT doc_id, item_id, n, k, m, s, c,
+             unnest(range(greatest(0, p - (n - k)), least(p, greatest(0, m - n)) + 1)) AS first_word FROM h),
+f AS (SELECT doc_id, item_id, n, k, m, first_word, s, least(count(*), any_value(c)) AS shared FROM v GROUP BY doc_id, item_id, n, k, m, first_word, s),
+g AS (SELECT doc_id, item_id, first_word, sum(shared) AS shared, any_value(least(n, m) - k + 1 + n - k + 1) AS total
+      FROM f GROUP BY doc_id, item_id, first_word),
+r AS (SELECT doc_id, item_id, first_word, CAST(shared AS DOUBLE) / (total - shared) AS similarity FROM g)
+SELECT doc_id, item_id, similarity, first_word FROM r WHERE similarity >= {THRESHOLD}
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, first_word) = 1"""

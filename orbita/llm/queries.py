@@ -33,12 +33,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(common.documents(spark, sf_dir), shingle=3, radius=2)
 
 
-@register("op2_html_extraction")
+@register("op2_html_extraction", html_crf.ORACLE)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_crf.extract(common.table(spark, sf_dir, "pages"))
 
 
-@register("op3_decontamination")
+@register("op3_decontamination", decontaminate.ORACLE)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(common.documents(spark, sf_dir), common.table(spark, sf_dir, "benchmark"))
 
