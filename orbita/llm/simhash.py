@@ -16,6 +16,8 @@ table gives no rows; other columns are kept, also where their names clash with o
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -29,27 +31,40 @@ SHINGLE = 3
 RADIUS = 2
 SEED = 42
 TILE = 2048
-#: Words hashed in one go: bounds memory for very long texts.
-STEP = 1 << 16
+#: Bytes of a text that are cut into words at once: bounds memory for very long texts.
+STEP = 1 << 19
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _word_runs(raw: bytes, step: int):
+    """Words of a text in lists of about ``step`` bytes."""
+    at = 0
+    while at < len(raw):
+        cut = _SPACE.search(raw, at + step)
+        end = cut.start() if cut else len(raw)
+        yield raw[at:end].split()  # bytes: ASCII white space only
+        at = end
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """SimHash of one text as an unsigned 64-bit number."""
     import xxhash
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII letters and white space only
-    if not words:
-        return 0
-    n = max(1, len(words) - shingle + 1)
-    ones = np.zeros(64, dtype=np.int64)
     join, digest = b" ".join, xxhash.xxh64_intdigest
-    for at in range(0, n, STEP):
-        part = words[at:min(at + STEP, n) + shingle - 1]
-        if len(part) <= shingle:
-            hashes = [digest(join(part), SEED)]
-        else:
-            hashes = [digest(join(t), SEED) for t in zip(*(part[k:] for k in range(shingle)))]
+    ones, n, last = np.zeros(64, dtype=np.int64), 0, []
+
+    def add(hashes: list[int]) -> None:
+        nonlocal n
         bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
+        ones[:] += bits.sum(axis=0, dtype=np.int64)
+        n += len(hashes)
+
+    for run in _word_runs((text or "").encode("utf-8", "surrogatepass").lower(), STEP):  # bytes: A-Z only
+        words = last + run
+        if len(words) >= shingle:
+            add([digest(join(t), SEED) for t in zip(*(words[k:] for k in range(shingle)))])
+        last = words[len(words) - shingle + 1:] if len(words) >= shingle else words
+    if not n and last:
+        add([digest(join(last), SEED)])
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 

@@ -44,8 +44,10 @@ def test_fingerprint(text):
 
 def test_fingerprint_of_a_text_longer_than_a_step(monkeypatch):
     text = " ".join(f"w{i % 91}" for i in range(1000))
-    monkeypatch.setattr(simhash, "STEP", 64)
-    assert simhash.fingerprint(text) == brute_fingerprint(text)
+    for step in (1, 7, 64, 5000):
+        monkeypatch.setattr(simhash, "STEP", step)
+        for t in (text, text[:9], "a", " a  b ", "", "\n\n", "x" * 300 + " y z"):
+            assert simhash.fingerprint(t) == brute_fingerprint(t)
 
 
 def near_values(rng, groups=12, size=9):
