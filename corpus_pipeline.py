@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from orbita.llm import common, decontaminate, line_dedup, packing, quality, queries, simhash
+from orbita.session import scratch_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +49,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.documents(spark, sf_dir)
+    """All stages on ``documents``.  A stage's table goes when its successor's is written; packing writes
+    its pieces before it returns."""
+    docs, before = common.documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
-        docs = common.written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        path = scratch_path(spark, f"pipeline-{name}")
+        docs = common.written(stage(spark, docs, sf_dir), name, path)
+        if before:
+            common.discard(spark, before)
+        before = path
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    common.discard(spark, before)
+    return packed

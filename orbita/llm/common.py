@@ -29,17 +29,23 @@ def bound_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Cuts the lineage: what follows survives a lost executor, and rows that
     several later steps read are computed once.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = path or scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have (extra columns may clash with ours)."""
     taken = {c.lower() for c in df.columns}

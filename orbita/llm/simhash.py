@@ -2,10 +2,10 @@
 
 Fingerprints: 64-bit majority of the XXH64 hashes of all word shingles.  Distinct
 fingerprints are laid out in tiles by the population counts of their segments (four of
-16 bits, or eight of 8 bits for very many fingerprints); two fingerprints within ``radius`` bits have counts that differ by
-``radius`` in sum at most, so only tile pairs that near are compared (numpy
-exclusive-or and bit counts), all others are skipped.  A tile holds ``TILE``
-fingerprints; full cells are split into several tiles.  Each tile pair reports a
+16 bits, or eight of 8 bits for very many fingerprints); two fingerprints within
+``radius`` bits have counts that differ by ``radius`` in sum at most, so only tile pairs
+that near are compared (numpy exclusive-or and bit counts), all others are skipped.  A
+tile holds ``TILE`` fingerprints; full cells are split into several tiles.  Each tile pair reports a
 spanning forest of its links, never all pairs, and components are found over those.
 
 Defined cases: a null text is empty; texts without words have fingerprint zero and
