@@ -200,7 +200,6 @@ def q_integration_meta(spark, sf):
 
 # ---- cleaning -------------------------------------------------------------------------
 
-from ..operators import distribution as D  # noqa: E402
 
 
 @register("dedup_exact", O.with_chain(

@@ -71,7 +71,6 @@ def test_features_bins_and_tiers(analytic):
 
 
 def test_engagement_matches_pandas_ranks(base):
-    import pandas as pd
     clean = C.clean(base)
     pdf = clean.toPandas()
     want = (pdf["horas_consumo_mensual"].rank(pct=True) * 0.30 + pdf["sesiones_semana"].rank(pct=True) * 0.25

@@ -1,9 +1,5 @@
-import math
-
 import numpy as np
-import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from orbita.functions.kneedle import elbow_convex_decreasing
 from orbita.functions.numeric import round_half_even, safe_ratio

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from orbita.contracts import CLASSIFICATION_TARGET, REGRESSION_FEATURES, ModelTrainingError
+from orbita.contracts import CLASSIFICATION_TARGET, ModelTrainingError
 from orbita.operators import supervised as SV
 
 
