@@ -75,6 +75,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_rules.judge(common.documents(spark, sf_dir))
 
 
+@register("quality_base_counts", weak_rules.BASE_ORACLE)
+def base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that the quality rules start from, without the rules."""
+    rows = weak_rules.counted(common.documents(spark, sf_dir))
+    return rows.select("doc_id", *weak_rules.BASE, weak_rules.base_failed().alias("base_failed"))
+
+
 @register("op10_chat_formatting")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(common.table(spark, sf_dir, "conversations"))

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import features
@@ -91,12 +91,15 @@ def posterior(v: np.ndarray, prior: float, p: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the base counts, ``base_failed``, ``kept`` and the ``posterior`` of every row."""
-    spark = docs.sparkSession
-    bound_batches(spark)
+def base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """``doc_id``, the base counts and the coded ``votes`` of every row."""
+    bound_batches(docs.sparkSession)
 
-    def counted(batches):
+    def count(batches):
         for batch in batches:
             c = features.count(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -104,14 +107,34 @@ def judge(docs: DataFrame) -> DataFrame:
                 names=["doc_id", *BASE, "votes"])
 
     schema = "doc_id long, " + ", ".join(f"{k} long" for k in BASE) + ", votes int"
-    rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-                   .mapInArrow(counted, schema), "votes")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(count, schema)
+
+
+def judge(docs: DataFrame) -> DataFrame:
+    """``doc_id``, the base counts, ``base_failed``, ``kept`` and the ``posterior`` of every row."""
+    rows = written(counted(docs), "votes")
     patterns = sorted((r.votes, r["count"]) for r in rows.groupBy("votes").count().collect())  # at most 3^RULES
     code, n = np.array(patterns, dtype=np.int64).reshape(-1, 2).T
     v = decode(code)
     prior, p = fit(v, n)
     table = [(int(c), float(q)) for c, q in zip(code, posterior(v, prior, p))]
-    judged = rows.join(F.broadcast(spark.createDataFrame(table, "votes int, posterior double")), "votes")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return judged.select("doc_id", *BASE, failed.alias("base_failed"), (~failed & (F.col("posterior") >= KEEP)).alias("kept"),
-                         "posterior")
+    known = docs.sparkSession.createDataFrame(table, "votes int, posterior double")
+    return rows.join(F.broadcast(known), "votes").select(
+        "doc_id", *BASE, base_failed().alias("base_failed"), (~base_failed() & (F.col("posterior") >= KEEP)).alias("kept"),
+        "posterior")
+
+
+BASE_ORACLE = f"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''),
+             '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, p, array_to_string(w[p + 1:p + 8], ' ') AS s FROM (SELECT doc_id, w, unnest(range(0, len(w) - 7)) AS p FROM w)),
+t AS (SELECT doc_id, p FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+r AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + 8)) AS q FROM t) GROUP BY doc_id),
+l AS (SELECT doc_id, line, count(*) - 1 AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w)
+      WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id, line),
+d AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n FROM l GROUP BY doc_id),
+b AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             coalesce(d.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+      FROM w LEFT JOIN d ON w.doc_id = d.doc_id LEFT JOIN r ON w.doc_id = r.doc_id)
+SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM b"""
