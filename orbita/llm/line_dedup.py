@@ -11,8 +11,9 @@ counts; texts move once, to meet the hashes that they lose.
 
 Defined cases: a null text stays null and has no lines; a null site is no site;
 null doc_ids sort first; repeated rows (same id and text) are one document and are
-treated alike; lines shorter than ``min_chars`` are never boilerplate; an empty table
-gives no rows; other columns are kept, also where their names clash with ours.
+treated alike; lines shorter than ``min_chars`` are never boilerplate (with ``min_chars=None``,
+as in the pipeline stage, only those of under ``MIN_CHARS`` without a letter or digit); an empty
+table gives no rows; other columns are kept, also where their names clash with ours.
 """
 
 from __future__ import annotations
@@ -38,12 +39,18 @@ def _trimmed(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\r\x0b\x0c"))
 
 
-def line_table(docs: DataFrame, site: str, min_chars: int) -> DataFrame:
-    """``doc_id, body`` (text hash)``, pos, a, b`` (line hash)``, site`` of every line long enough."""
+def _counts(trimmed: Column, min_chars: int | None) -> Column:
+    """Whether a line can be boilerplate: at any length if it holds a word, where no length is asked for."""
+    long = F.char_length(trimmed) >= (MIN_CHARS if min_chars is None else min_chars)
+    return long | trimmed.rlike(r"[\p{L}\p{N}]") if min_chars is None else long
+
+
+def line_table(docs: DataFrame, site: str, min_chars: int | None) -> DataFrame:
+    """``doc_id, body`` (text hash)``, pos, a, b`` (line hash)``, site`` of every line that counts."""
     line = _trimmed(F.col("line"))
     return (docs.select(F.col("doc_id"), F.xxhash64("text").alias("body"), F.col(site).cast("string").alias("site"),
                         F.posexplode(_lines("text")).alias("pos", "line"))
-            .where(F.char_length(line) >= min_chars)
+            .where(_counts(line, min_chars))
             .select("doc_id", "body", "site", "pos", F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b")))
 
 
@@ -61,7 +68,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         near.join(exact.select("a", "b"), ["a", "b"]).select("a", "b", "first"))
 
 
-def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS,
+def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min_chars: int | None = MIN_CHARS,
                 counts: tuple[str, ...] = ("n_lines", "n_removed", "n_removed_chars", "n_from_one")) -> DataFrame:
     """``docs`` with boilerplate lines removed from ``text``, and counts under the given names (a column of
     ``docs`` of such a name is replaced): lines, lines and characters removed, and the most different
@@ -83,7 +90,7 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
 
     def goes(line: Column, pos: Column) -> Column:
         t = _trimmed(line)
-        return (F.char_length(t) >= min_chars) & F.array_contains(F.col(gone), F.xxhash64(t)) & ~F.array_contains(
+        return _counts(t, min_chars) & F.array_contains(F.col(gone), F.xxhash64(t)) & ~F.array_contains(
             F.col(kept), pos)
 
     split = _lines("text")
@@ -101,11 +108,11 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
 
 
 def clean_documents(docs: DataFrame, site: str = "source") -> DataFrame:
-    """``docs`` with cleaned ``text`` (and ``n_chars`` to match), without the copies that this uncovers:
+    """``docs`` with cleaned ``text`` (lines of any length that hold a word; ``n_chars`` to match), without the copies that this uncovers:
     documents that it leaves blank, or whose lost characters are over ``COPY_SHARE`` of all, with
     ``COPY_LINES`` lines or more staying in one other document."""
     counts = tuple(fresh(docs, "_" + c) for c in ("lines", "removed", "lost", "from_one"))
-    out = dedup_lines(docs, site, counts=counts)
+    out = dedup_lines(docs, site, min_chars=None, counts=counts)
     removed, lost = F.col(counts[1]), F.col(counts[2])
     blank = F.btrim("text", F.lit(" \t\n\r\x0b\x0c")) == ""
     copied = (F.col(counts[3]) >= COPY_LINES) & (lost > F.lit(COPY_SHARE) * (lost + F.char_length("text")))

@@ -49,6 +49,14 @@ def test_clean_documents_drops_copies_only(spark):
     assert kept[51].n_chars == 5 and kept[91].n_chars is None
 
 
+def test_clean_documents_counts_short_lines(spark):
+    rows = [(i, f"Reply\nown text number {i} of this document\n}}", f"s{i}") for i in range(9)]
+    kept = {r.doc_id: r.text for r in line_dedup.clean_documents(docs(spark, rows)).collect()}
+    assert kept == {i: ("Reply\n" if i == 0 else "") + f"own text number {i} of this document\n}}" for i in range(9)}
+    seven = [r for r in rows if r[0] < 7]  # under the threshold all stays
+    assert {r.text for r in line_dedup.clean_documents(docs(spark, seven)).collect()} == {r[1] for r in seven}
+
+
 def test_no_python_in_the_plan(spark):
     plan = line_dedup.dedup_lines(docs(spark, edge_rows()))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
