@@ -5,7 +5,11 @@ A transcript is plain text in which speakers take turns, mostly announced by mar
 Hidden states are a role and whether the line begins its turn; a line is observed
 through its marker, a blank line before it, its length and a closing question mark.
 Probabilities are counted on labelled transcripts; Viterbi recovers the states, and each
-turn is rendered as ``<|role|>``, its lines, ``<|end|>``.
+turn is rendered as ``<|role|>``, its lines, ``<|end|>``.  Inside a turn all lines stay as they
+are, blank ones too; a turn loses only blank lines at its borders and the marker that announces it,
+with one space after it.  A known marker announces turns of its own role; any other name does if no
+known marker begins a turn of that role, it is the most frequent name that does (of equals the
+first), and it does so twice or the transcript's turns have no known markers at all.
 
 Defined cases: a null or blank text has no turns and renders empty; unknown roles are
 left out of the training; without labelled lines all states are equally likely at first;
@@ -37,30 +41,50 @@ MARKERS = {
     "assistant": "assistant|ai|bot|answer|a|response|model|gpt|agent|chatbot|output|support",
 }
 _KNOWN = {name: role for role, names in MARKERS.items() for name in names.split("|")}
-_MARKER = re.compile(r"^\s*(?:#{1,4}\s*|\*\*|<\|?|\[)?\s*([A-Za-z][A-Za-z .]{0,19}?)\s*(?:\*\*\s*:|:\s*\*\*|\|?>|\]:?|:(?=\s|$))\s*(.*)$", re.S)
+_MARKER = re.compile(r"^\s*(?:#{1,4}\s*|\*\*|<\|?|\[)?\s*([A-Za-z][A-Za-z .]{0,19}?)\s*(?:\*\*\s*:|:\s*\*\*|\|?>|\]:?|:(?=\s|$))[^\S\n]?(.*)$", re.S)
 _KINDS = {"none": 0, "system": 1, "user": 2, "assistant": 3, "name": 4}
 OBSERVATIONS = (len(_KINDS), 2, 4, 2)
 
 
-def lines_of(text: str | None) -> list[tuple[str, tuple[int, ...], str]]:
-    """Non-blank lines as (line, observation, line without its marker)."""
+def lines_of(text: str | None) -> list[tuple[str, tuple[int, ...], str, str]]:
+    """Non-blank lines as (line, observation, line without its marker, name in the marker)."""
     out, blank = [], True
     for line in (text or "").split("\n"):
         if not line.strip():
             blank = True
             continue
         m = _MARKER.match(line)
-        kind = "none"
+        kind, name = "none", ""
         if m:
-            kind = _KNOWN.get(" ".join(m[1].lower().split()), "name")
+            name = " ".join(m[1].lower().split())
+            kind = _KNOWN.get(name, "name")
         bare = m[2] if m else line
         words = len(bare.split())
         out.append((line, (_KINDS[kind], int(blank), 0 if words < 8 else 1 if words < 20 else 2 if words < 50 else 3,
-                           int(bare.rstrip().endswith("?"))), bare))
+                           int(bare.rstrip().endswith("?"))), bare, name))
         blank = False
     return out
 
 
+def announcing(begun: list[tuple[str, str]]) -> set[tuple[str, str]]:
+    """The (role, name) that announce turns, of (role, name in its marker) of every begun turn."""
+    votes = Counter(x for x in begun if x[1])
+    out = {x for x in votes if _KNOWN.get(x[1]) == x[0]}
+    known = {role for role, _ in out}
+    for role in ROLES:
+        names = [x for x in votes if x[0] == role and x[1] not in _KNOWN]
+        best = max(names, key=votes.get, default=None)  # of equals the first
+        if best and role not in known and (votes[best] > 1 or not known):
+            out.add(best)
+    return out
+
+
+def joined(rows: list[str]) -> str:
+    """The lines of a turn without blank ones at its borders."""
+    full = [k for k, x in enumerate(rows) if x.strip()]
+    return "\n".join(rows[full[0]:full[-1] + 1]) if full else ""
+
+
 class Model:
     """Log probabilities of the first state, of steps and of each part of an observation."""
 
@@ -100,16 +124,20 @@ class Model:
 
     def turns(self, text: str | None) -> list[tuple[str, str]]:
         """Recovered (role, text) turns."""
-        lines = lines_of(text)
+        rows, lines = (text or "").split("\n"), lines_of(text)
+        states = [STATES[s] for s in self.decode([o for _, o, _, _ in lines])]
+        announced = announcing([(role, name) for (role, begins), (*_, name) in zip(states, lines) if begins])
+        found = iter(zip(states, lines))
         out: list[tuple[str, list[str]]] = []
-        for (line, observation, bare), s in zip(lines, self.decode([o for _, o, _ in lines])):
-            role, begins = STATES[s]
-            if begins:
-                # A marker by itself on its line announces the next one.
-                out.append((role, [bare] if bare.strip() else []))
-            else:
-                out[-1][1].append(line)
-        return [(role, "\n".join(rows)) for role, rows in out]
+        for row in rows:
+            if row.strip():
+                (role, begins), (_, _, bare, name) = next(found)
+                if begins:
+                    out.append((role, []))
+                    row = bare if (role, name) in announced else row
+            if out:
+                out[-1][1].append(row)
+        return [(role, joined(rows)) for role, rows in out]
 
 
 def render(turns: list[tuple[str, str]]) -> str:
@@ -124,7 +152,7 @@ def count_lines(turns: list[tuple[str, str]]) -> tuple[Counter, Counter, Counter
     for role, raw in turns:
         states += [STATES.index((role, k == 0)) if role in ROLES else None
                    for k in range(sum(1 for x in raw.split("\n") if x.strip()))]
-    for (_, observation, _), s in zip(lines, states):
+    for (_, observation, _, _), s in zip(lines, states):
         if s is None:
             last = None
             continue

@@ -57,6 +57,21 @@ def test_markers_and_rendering():
     assert [k[1][0] for k in C.lines_of("Time is 10:30 now\nhttp://x\nMaria: hello\nQ: x\n<|user|> hi")] == [0, 0, 4, 2, 2]
 
 
+def test_turns_keep_their_text():
+    own = "def f():\n\n    pass\n\n\nNote: that is all"
+    talk = [("system", "System: be kind"), ("user", f"\nUser:  first\n\n  second\n\n{own}"), ("assistant", f"\nAssistant: yes\n\n{own}"),
+            ("user", "\nNote: one more\n\n  second"), ("assistant", f"\nAssistant: no\n\n{own}")]
+    m = C.Model(*[Counter({k: 20 * n for k, n in c.items()}) for c in C.count_lines(talk)])
+    # Decoding is held at the true states: only what is kept of the lines is in question.
+    states = [C.STATES.index((role, k == 0)) for role, raw in talk for k in range(sum(1 for x in raw.split("\n") if x.strip()))]
+    m.decode = lambda observations: states
+    assert m.turns("\n".join(raw for _, raw in talk)) == [
+        ("system", "be kind"), ("user", f" first\n\n  second\n\n{own}"), ("assistant", f"yes\n\n{own}"),
+        ("user", "Note: one more\n\n  second"), ("assistant", f"no\n\n{own}")]
+    assert C.announcing([("system", "note"), ("user", "maria"), ("user", "tip"), ("user", "maria")]) == {
+        ("system", "note"), ("user", "maria")}
+
+
 def test_edges(spark):
     rows = [(1, 0, "user", "hello there"), (1, 0, "user", "hello there"), (1, 1, "assistant", None), (1, 2, "user", ""),
             (None, 0, "user", "no conversation"), (None, 1, "user", "no conversation"), (2, None, "user", "no turn"),
