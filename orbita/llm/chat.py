@@ -11,10 +11,16 @@ with one space after it.  A known marker announces turns of its own role; any ot
 known marker begins a turn of that role, it is the most frequent name that does (of equals the
 first), and it does so twice or the transcript's turns have no known markers at all.
 
+A conversation is cut into chunks (parts of ``PART_TURNS`` turn numbers, crowded ones into pieces of
+consecutive rows), which are decoded as one transcript: each chunk gives a table of the best score of
+every way from the state before it to its last one, a pass over a conversation's tables (a few hundred
+bytes each) finds the states at the borders, and chunks are decoded between these.  ``rendered`` of a
+conversation's chunks, joined in order of (part, piece), is its whole chat; a turn may go on in the next.
+
 Defined cases: a null or blank text has no turns and renders empty; unknown roles are
 left out of the training; without labelled lines all states are equally likely at first;
 null conv_ids and turns are transcripts of one row; repeated rows count once; rows that share a
-turn are put in order of their text; an empty table gives no rows; other columns are ignored.
+turn are put in order of their role and text; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,10 +30,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, text_or_empty
+from ..session import shuffle_partitions
+from .common import bound_batches, text_or_empty, written
 
 ROLES = ("system", "user", "assistant")
 STATES = [(r, begins) for r in ROLES for begins in (True, False)]
@@ -46,9 +53,10 @@ _KINDS = {"none": 0, "system": 1, "user": 2, "assistant": 3, "name": 4}
 OBSERVATIONS = (len(_KINDS), 2, 4, 2)
 
 
-def lines_of(text: str | None) -> list[tuple[str, tuple[int, ...], str, str]]:
-    """Non-blank lines as (line, observation, line without its marker, name in the marker)."""
-    out, blank = [], True
+def lines_of(text: str | None, blank: bool = True) -> list[tuple[str, tuple[int, ...], str, str]]:
+    """Non-blank lines as (line, observation, line without its marker, name in the marker); ``blank``: what
+    stands before is blank."""
+    out = []
     for line in (text or "").split("\n"):
         if not line.strip():
             blank = True
@@ -108,27 +116,46 @@ class Model:
     def emission(self, observation: tuple[int, ...]) -> np.ndarray:
         return sum(table[:, v] for table, v in zip(self.seen, observation))
 
-    def decode(self, observations: list[tuple[int, ...]]) -> list[int]:
-        """Viterbi; ties go to the state that comes first."""
+    def decode(self, observations: list[tuple[int, ...]], start: int | None = None, end: int | None = None) -> list[int]:
+        """Viterbi, from the state before and to the last one if given; ties go to the state that comes first."""
         if not observations:
             return []
-        best, back = self.first + self.emission(observations[0]), []
+        best, back = (self.first if start is None else self.steps[start]) + self.emission(observations[0]), []
         for o in observations[1:]:
             ways = best[:, None] + self.steps
             back.append(ways.argmax(axis=0))
             best = ways.max(axis=0) + self.emission(o)
-        path = [int(best.argmax())]
+        path = [int(best.argmax()) if end is None else end]
         for step in reversed(back):
             path.append(int(step[path[-1]]))
         return path[::-1]
 
+    def ways(self, observations: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+        """Best scores from each state before (the last row: none) to each state of the last line, and
+        whether the first line begins a turn on that way."""
+        best = np.vstack([self.steps, self.first]) + self.emission(observations[0])
+        begins = np.tile([b for _, b in STATES], (len(STATES) + 1, 1))
+        for o in observations[1:]:
+            step = best[:, :, None] + self.steps
+            begins = np.take_along_axis(begins, step.argmax(axis=1), axis=1)
+            best = step.max(axis=1) + self.emission(o)
+        return best, begins
+
     def turns(self, text: str | None) -> list[tuple[str, str]]:
         """Recovered (role, text) turns."""
-        rows, lines = (text or "").split("\n"), lines_of(text)
-        states = [STATES[s] for s in self.decode([o for _, o, _, _ in lines])]
-        announced = announcing([(role, name) for (role, begins), (*_, name) in zip(states, lines) if begins])
+        return [(role, joined(rows)) for role, rows in self.chunk(text)[0]]
+
+    def chunk(self, text: str | None, blank: bool = True, start: int | None = None, end: int | None = None,
+              announced: set | None = None) -> tuple[list[tuple[str | None, list[str]]], list[tuple[str, str]]]:
+        """(role, lines) of each turn, and (role, name in the marker) of those begun here.  The first role is
+        None for lines that go on with a turn begun before."""
+        rows, lines = (text or "").split("\n"), lines_of(text, blank)
+        between = () if start is None and end is None else (start, end)
+        states = [STATES[s] for s in self.decode([o for _, o, _, _ in lines], *between)]
+        begun = [(role, name) for (role, begins), (*_, name) in zip(states, lines) if begins]
+        announced = announcing(begun) if announced is None else announced
         found = iter(zip(states, lines))
-        out: list[tuple[str, list[str]]] = []
+        out: list[tuple[str | None, list[str]]] = [] if start is None else [(None, [])]
         for row in rows:
             if row.strip():
                 (role, begins), (_, _, bare, name) = next(found)
@@ -137,21 +164,66 @@ class Model:
                     row = bare if (role, name) in announced else row
             if out:
                 out[-1][1].append(row)
-        return [(role, joined(rows)) for role, rows in out]
+        return out, begun
+
+
+def stitch(tables: list[tuple[list | None, list | None]]) -> list[tuple[int | None, int | None, bool]]:
+    """Of each chunk's ``ways`` in order (None without lines): the state before it, its last state, and
+    whether its last turn goes on in a later chunk."""
+    n = len(STATES)
+    score, back = np.full(n + 1, -np.inf), []
+    score[n] = 0.0
+    for best, _ in tables:
+        if best is None:
+            back.append(None)
+            continue
+        step = score[:, None] + np.reshape(best, (n + 1, n))
+        back.append(step.argmax(axis=0))
+        score = np.append(step.max(axis=0), -np.inf)
+    at, goes_on, out = int(score.argmax()), False, []
+    for k in range(len(tables) - 1, -1, -1):
+        before = at if back[k] is None else int(back[k][at])
+        out.append((None if before == n else before, None if at == n else at, goes_on))
+        if back[k] is not None:
+            goes_on = not np.reshape(tables[k][1], (n + 1, n))[before, at]
+        at = before
+    return out[::-1]
+
+
+def render_chunk(turns: list[tuple[str | None, list[str]]], goes_on: bool) -> str:
+    """``render`` of a chunk's turns.  What a turn lacks at a border, the next chunk has: its other lines and its end."""
+    out = []
+    for k, (role, rows) in enumerate(turns):
+        full = [i for i, x in enumerate(rows) if x.strip()]
+        last = k == len(turns) - 1
+        if role is not None:
+            rows = rows[full[0]:] if full else []
+        if last and goes_on:
+            text = "".join(x + "\n" for x in rows)
+        elif role is None and not full:
+            continue  # the turn ended in an earlier chunk
+        else:
+            text = joined(rows) if role is not None else "\n".join(rows[:full[-1] + 1])
+        out.append(("" if role is None else f"<|{role}|>\n") + text + ("" if last and goes_on else "<|end|>\n"))
+    return "".join(out)
 
 
 def render(turns: list[tuple[str, str]]) -> str:
     return "".join(f"<|{role}|>\n{text}<|end|>\n" for role, text in turns)
 
 
-def count_lines(turns: list[tuple[str, str]]) -> tuple[Counter, Counter, Counter]:
-    """First states, steps and observations of one transcript given as (role, raw text of the turn)."""
-    first, steps, seen, last = Counter(), Counter(), Counter(), None
-    lines = lines_of("\n".join(t for _, t in turns))
-    states = []
-    for role, raw in turns:
-        states += [STATES.index((role, k == 0)) if role in ROLES else None
-                   for k in range(sum(1 for x in raw.split("\n") if x.strip()))]
+def true_states(turns: list[tuple[str, str]]) -> list[int | None]:
+    """The state of each line of (role, raw text of the turn); None under unknown roles."""
+    return [STATES.index((role, k == 0)) if role in ROLES else None
+            for role, raw in turns for k in range(sum(1 for x in raw.split("\n") if x.strip()))]
+
+
+def count_lines(turns: list[tuple[str, str]], blank: bool = True, last: int | None = None) -> tuple[Counter, Counter, Counter]:
+    """First states, steps and observations of one transcript given as (role, raw text of the turn), or of
+    a chunk with what stands before it."""
+    first, steps, seen = Counter(), Counter(), Counter()
+    lines = lines_of("\n".join(t for _, t in turns), blank)
+    states = true_states(turns)
     for (_, observation, _, _), s in zip(lines, states):
         if s is None:
             last = None
@@ -190,24 +262,58 @@ def written_turn(conv: str, turn: str, role: str, text: str) -> Column:
 
 
 def transcripts(turns: DataFrame) -> DataFrame:
-    """``conv_id, part, turns``: one row per transcript, its (turn, role, raw) in order.
+    """``conv_id, part, piece, turns``: one row per chunk of a transcript, its (turn, role, raw) in order.
 
-    Parts of a conversation hold ``PART_TURNS`` turn numbers; a part of more than ``PART_ROWS``
-    different rows is split by a hash of them, so no group grows without bound.
+    Parts of a conversation hold ``PART_TURNS`` turn numbers; a part of more than ``PART_ROWS`` different
+    rows is cut into pieces of ``PART_ROWS`` consecutive ones, so no group grows without bound.
     """
     rows = turns.groupBy(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                          F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")).agg(
         F.lit(1).alias("one")).drop("one")
     alone = F.col("conv_id").isNull() | F.col("turn").isNull()
-    body = F.xxhash64("turn", "role", "text")
-    rows = rows.withColumn("part", F.floor(F.col("turn") / PART_TURNS)).withColumn("alone", F.when(alone, body).otherwise(0))
-    crowded = (rows.where(~alone).groupBy("conv_id", "part").count().where(F.col("count") > PART_ROWS)
-               .select("conv_id", "part", F.ceil(F.col("count") / PART_ROWS).alias("pieces")))
-    rows = rows.join(crowded, ["conv_id", "part"], "left").withColumn(
-        "piece", F.when(F.col("pieces").isNotNull(), F.pmod(body, F.col("pieces"))).otherwise(0))
+    rows = written(rows.withColumn("part", F.floor(F.col("turn") / PART_TURNS)).withColumn(
+        "alone", F.when(alone, F.xxhash64("turn", "role", "text")).otherwise(0)), "chat-rows")
+    group = ["conv_id", "part"]
+    crowded = written(rows.where(~alone).groupBy(*group).count().where(F.col("count") > PART_ROWS).select(*group), "chat-crowded")
+    # Ranks in a part of many tasks: places in sorted ranges, and what earlier ranges hold of the part.
+    order = ["conv_id", "turn", "role", "text"]
+    ranged = written(rows.join(crowded, group, "left_semi").repartitionByRange(shuffle_partitions(turns.sparkSession), *order)
+                     .sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+                     .withColumn("range", F.shiftright("at", 33)), "chat-ranges")
+    earlier = Window.partitionBy(*group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    held = ranged.groupBy(*group, "range").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("least"))
+    held = held.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("least")).drop("n", "least")
+    pieces = ranged.join(held, [*group, "range"]).withColumn(
+        "piece", F.floor((F.col("at") + F.col("before")) / PART_ROWS)).select(*rows.columns, "piece")
+    rows = rows.join(crowded, group, "left_anti").withColumn("piece", F.lit(0).cast("long")).unionByName(pieces)
     raw = written_turn("conv_id", "turn", "role", "text").alias("raw")
     return rows.groupBy("conv_id", "part", "piece", "alone").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", raw))).alias("turns")).select("conv_id", "part", "turns")
+        F.sort_array(F.collect_list(F.struct("turn", "role", raw))).alias("turns")).select("conv_id", "part", "piece", "turns")
+
+
+CHUNK = ["conv_id", "part", "piece"]
+
+
+def with_borders(chunks: DataFrame) -> DataFrame:
+    """``chunks`` with ``blank, last`` (whether a blank line, and which true state, -1 for none, stand before)
+    in conversations of several chunks; null elsewhere."""
+
+    def ends(batches):
+        for batch in batches:
+            rows = [[(t["role"], t["raw"]) for t in turns] for turns in batch.column(3).to_pylist()]
+            states = [true_states(t) for t in rows]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array([not t[-1][1].split("\n")[-1].strip() for t in rows], pa.bool_()),
+                 pa.array([(-1 if s[-1] is None else s[-1]) if s else None for s in states], pa.int64())], names=[*CHUNK, "blank", "last"])
+
+    whole = chunks.where(F.col("part").isNotNull() & F.col("conv_id").isNotNull())
+    several = whole.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("conv_id")
+    found = written(whole.join(several, "conv_id", "left_semi").select(*CHUNK, "turns").mapInArrow(
+        ends, "conv_id long, part long, piece long, blank boolean, last long"), "chat-borders")
+    order = Window.partitionBy("conv_id").orderBy("part", "piece")
+    before = found.select(*CHUNK, F.coalesce(F.lag("blank").over(order), F.lit(True)).alias("blank"), F.coalesce(
+        F.last("last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1)).alias("last"))
+    return chunks.join(before, CHUNK, "left")
 
 
 def is_held_out(conv: str = "conv_id") -> Column:
@@ -220,39 +326,111 @@ def train(labelled: DataFrame) -> Model:
     def counted(batches):
         for batch in batches:
             total = Counter()
-            for turns in batch.column(0).to_pylist():
-                for kind, c in enumerate(count_lines([(t["role"], t["raw"]) for t in turns])):
+            for turns, blank, last in zip(*(c.to_pylist() for c in batch.columns)):
+                before = (True, None) if blank is None else (blank, None if last < 0 else last)
+                for kind, c in enumerate(count_lines([(t["role"], t["raw"]) for t in turns], *before)):
                     for key, n in c.items():
                         key = key if isinstance(key, tuple) else (key,)
                         total[(kind, *key, *[-1] * (3 - len(key)))] += n
             cols = list(zip(*[(*k, n) for k, n in total.items()])) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["kind", "a", "b", "c", "n"])
 
-    rows = (labelled.select("turns").mapInArrow(counted, "kind long, a long, b long, c long, n long")
+    rows = (labelled.select("turns", "blank", "last").mapInArrow(counted, "kind long, a long, b long, c long, n long")
             .groupBy("kind", "a", "b", "c").agg(F.sum("n").alias("n")).collect())
     return Model(Counter({r.a: r.n for r in rows if r.kind == 0}), Counter({(r.a, r.b): r.n for r in rows if r.kind == 1}),
                  Counter({(r.a, r.b, r.c): r.n for r in rows if r.kind == 2}))
 
 
+def border_states(raw: DataFrame, model: Model) -> DataFrame:
+    """``start, end, goes_on`` of the chunks of ``raw(conv_id, part, piece, transcript, blank)`` by ``stitch``."""
+
+    def tables(batches):
+        for batch in batches:
+            found = [model.ways([o for _, o, _, _ in lines]) if lines else (None, None) for lines in (
+                lines_of(t, b) for t, b in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], *(pa.array([None if x[k] is None else x[k].ravel().tolist() for x in found], pa.list_(kind))
+                                       for k, kind in enumerate((pa.float64(), pa.bool_())))], names=[*CHUNK, "best", "begins"])
+
+    def stitched(batches):
+        for batch in batches:
+            out = []
+            for conv, chunks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for c, x in zip(chunks, stitch([(c["best"], c["begins"]) for c in chunks])):
+                    out.append((conv, c["part"], c["piece"], *x))
+            types = [pa.int64()] * 5 + [pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)],
+                                             names=[*CHUNK, "start", "end", "goes_on"])
+
+    one = raw.select(*CHUNK, "transcript", "blank").mapInArrow(
+        tables, "conv_id long, part long, piece long, best array<double>, begins array<boolean>")
+    return one.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("part", "piece", "best", "begins"))).alias("c")).mapInArrow(
+        stitched, "conv_id long, part long, piece long, start long, end long, goes_on boolean")
+
+
+def announced_names(raw: DataFrame, model: Model) -> DataFrame:
+    """``conv_id, names``: what ``announcing`` says of whole conversations, from their chunks' begun turns."""
+
+    def begun(batches):
+        for batch in batches:
+            out = []
+            for conv, part, piece, text, blank, start, end in zip(*(c.to_pylist() for c in batch.columns)):
+                found: dict[tuple[str, str], list[int]] = {}
+                for k, x in enumerate(model.chunk(text, blank, start, end, set())[1]):
+                    if x[1]:
+                        found.setdefault(x, [0, k])[0] += 1
+                out += [(conv, *x, n, part, piece, k) for x, (n, k) in found.items()]
+            types = [pa.int64(), pa.string(), pa.string()] + [pa.int64()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)],
+                                             names=["conv_id", "role", "name", "n", "part", "piece", "k"])
+
+    votes = (raw.select(*CHUNK, "transcript", "blank", "start", "end").mapInArrow(
+        begun, "conv_id long, role string, name string, n long, part long, piece long, k long")
+        .groupBy("conv_id", "role", "name").agg(F.sum("n").alias("n"), F.min(F.struct("part", "piece", "k")).alias("first")))
+    known = F.create_map(*[F.lit(x) for pair in _KNOWN.items() for x in pair])[F.col("name")]
+    votes = votes.withColumn("own", F.coalesce(known == F.col("role"), F.lit(False))).where(F.col("own") | known.isNull())
+    # Of each role: its known names (a fixed set), and of the others the most frequent, of equals the first.
+    best = votes.groupBy("conv_id", "role").agg(
+        F.collect_set(F.when(F.col("own"), F.col("name"))).alias("known"),
+        F.min(F.when(~F.col("own"), F.struct((-F.col("n")).alias("minus"), "first", "name"))).alias("other"))
+    return best.groupBy("conv_id").agg(F.collect_list(F.struct("role", "known", F.col("other.name").alias("name"), (
+        -F.col("other.minus")).alias("n"))).alias("names"))
+
+
+def _announced(names: list[dict]) -> set[tuple[str, str]]:
+    known = {(x["role"], name) for x in names for name in x["known"]}
+    return known | {(x["role"], x["name"]) for x in names
+                    if x["name"] and not x["known"] and (x["n"] > 1 or not known)}
+
+
 def parse(raw: DataFrame, model: Model) -> DataFrame:
-    """``raw(conv_id, part, transcript)`` with the recovered ``n_turns, roles`` and ``rendered`` chat."""
+    """``raw(conv_id, part, piece, transcript, blank)`` with the recovered ``n_turns, roles`` (of the turns begun in
+    the chunk) and ``rendered`` chat; ``blank`` is null where a chunk is the whole transcript."""
 
     def parsed(batches):
         for batch in batches:
-            turns = [model.turns(t) for t in batch.column(2).to_pylist()]
+            out = []
+            for text, blank, start, end, goes_on, names in zip(*(c.to_pylist() for c in batch.columns[3:])):
+                given = (True,) if blank is None else (blank, start, end, _announced(names or []))
+                turns, _ = model.chunk(text, *given)
+                roles = [role for role, _ in turns if role is not None]
+                out.append((len(roles), ",".join(roles), render_chunk(turns, bool(goes_on))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(t) for t in turns], pa.int64()),
-                 pa.array([",".join(r for r, _ in t) for t in turns], pa.string()),
-                 pa.array([render(t) for t in turns], pa.string())], names=["conv_id", "part", "n_turns", "roles", "rendered"])
+                [*batch.columns[:3], *(pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string())))],
+                names=[*CHUNK, "n_turns", "roles", "rendered"])
 
-    return raw.select("conv_id", "part", "transcript").mapInArrow(
-        parsed, "conv_id long, part long, n_turns long, roles string, rendered string")
+    long = raw.where(F.col("blank").isNotNull())
+    states = written(border_states(long, model), "chat-states")
+    names = written(announced_names(long.join(states, CHUNK), model), "chat-names")
+    return raw.join(states, CHUNK, "left").join(names, "conv_id", "left").select(
+        *CHUNK, "transcript", "blank", "start", "end", "goes_on", "names").mapInArrow(
+        parsed, "conv_id long, part long, piece long, n_turns long, roles string, rendered string")
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
     """Write the table's conversations as raw transcripts, train on those not held out, and parse all."""
     bound_batches(conversations.sparkSession)
-    table = transcripts(conversations)
+    table = with_borders(written(transcripts(conversations), "chat-chunks"))
     model = train(table.where(~is_held_out()))
-    raw = table.select("conv_id", "part", F.concat_ws("\n", F.col("turns.raw")).alias("transcript"))
+    raw = table.select(*CHUNK, F.concat_ws("\n", F.col("turns.raw")).alias("transcript"), "blank")
     return parse(raw, model)

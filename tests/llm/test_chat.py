@@ -72,6 +72,21 @@ def test_turns_keep_their_text():
         ("system", "note"), ("user", "maria")}
 
 
+def test_chunks_read_as_one_transcript(spark, monkeypatch):
+    rows = [(c, i // 3 if c % 2 else i, ("user", "assistant")[i % 2], f"own {i}\n\n  more {'?' * (i % 3)}") for c in range(10) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole = {r.conv_id: r for r in C.format_chats(df).collect()}
+    monkeypatch.setattr(C, "PART_ROWS", 7)
+    monkeypatch.setattr(C, "PART_TURNS", 16)
+    got = {}
+    for r in sorted(C.format_chats(df).collect(), key=lambda r: (r.conv_id, r.part, r.piece)):
+        got.setdefault(r.conv_id, []).append(r)
+    assert all(len(x) > 3 for x in got.values())
+    for c, chunks in got.items():
+        assert "".join(r.rendered for r in chunks) == whole[c].rendered
+        assert sum(r.n_turns for r in chunks) == whole[c].n_turns
+
+
 def test_edges(spark):
     rows = [(1, 0, "user", "hello there"), (1, 0, "user", "hello there"), (1, 1, "assistant", None), (1, 2, "user", ""),
             (None, 0, "user", "no conversation"), (None, 1, "user", "no conversation"), (2, None, "user", "no turn"),
