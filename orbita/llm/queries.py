@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path, shuffle_partitions
-from . import chat, common, decontaminate, html_crf, line_dedup, packing, quality, sharding, simhash, token_store, weak_rules
+from . import (chat, common, decontaminate, divergence, hard_negatives, html_crf, line_dedup, packing, quality, sharding, simhash,
+               token_store, toxicity, weak_rules)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,3 +87,20 @@ def base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_chat_formatting")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(common.table(spark, sf_dir, "conversations"))
+
+
+@register("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(common.documents(spark, sf_dir), common.table(spark, sf_dir, "labels"))
+
+
+@register("op12_source_divergence", divergence.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(common.documents(spark, sf_dir))
+
+
+@register("op13_hard_negatives", hard_negatives.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id is divisible by 7 first get the next label of ten."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(common.table(spark, sf_dir, "embeddings"), label)
