@@ -8,7 +8,11 @@ distribution* table built with shuffles only:
 
 1. ``groupBy(column, value).count()`` - partial aggregation map-side, so a hot
    value (a third of all rows) costs one counter, not one task;
-2. equal-width value buckets per column (exact min/max, deterministic);
+2. ranges of about equal counts of distinct values per column: splitters are
+   every m-th value of a hash sample of the distinct values (about
+   ``OVERSAMPLE x buckets`` of a column, whatever its size), so neither a heavy
+   tail nor one far outlier fills a bucket.  The sample is a function of the
+   values, so a re-executed task cuts at the same places;
 3. per-bucket running sums: a window partitioned by (column, bucket);
 4. bucket offsets: a running sum over at most ``columns x buckets`` rows,
    broadcast back (its size is bounded by the bucket parameter, not the data).
@@ -38,16 +42,49 @@ def to_long(df: DataFrame, columns: list[str], id_column: str | None = None) ->
     return long.filter(F.col(V).isNotNull())
 
 
+#: Sampled distinct values per bucket: bucket sizes vary by about 1 / sqrt(OVERSAMPLE).
+OVERSAMPLE = 32
+_HASHES = float(1 << 63)
+
+
+def splitters(counts: DataFrame, sizes: DataFrame, buckets: int) -> DataFrame:
+    """(column_name, _splits): at most ``buckets - 1`` ascending values that part the column's distinct
+    values into ranges of about equal counts."""
+    chance = F.col("_distinct") * (F.shiftrightunsigned(F.xxhash64(K, V), 1) / F.lit(_HASHES))
+    sample = (counts.select(K, V).join(F.broadcast(sizes.select(K, "_distinct")), K)
+              .where(chance < F.lit(float(OVERSAMPLE * buckets))))
+    place = F.row_number().over(Window.partitionBy(K).orderBy(V))  # about OVERSAMPLE x buckets rows a column
+    total = F.count(F.lit(1)).over(Window.partitionBy(K))
+    ranked = sample.select(K, V, place.alias("_place"), total.alias("_total"))
+    share = lambda k: F.floor(k * F.lit(buckets) / (F.col("_total") + 1))
+    cut = ranked.where(share(F.col("_place")) > share(F.col("_place") - 1))
+    return cut.groupBy(K).agg(F.sort_array(F.collect_list(V)).alias("_splits"))
+
+
+def with_bucket(rows: DataFrame, buckets: int) -> DataFrame:
+    """Adds ``_b``, the number of entries of ``_splits`` that are not above the value (an unrolled binary search)."""
+    rows = rows.withColumn("_b", F.lit(0))
+    step = 1 << max(0, buckets - 1).bit_length()
+    while step:
+        # Behind the array's end ``get`` is null, which counts as above every value.
+        probe = F.get("_splits", F.col("_b") + F.lit(step - 1)) <= F.col(V)
+        rows = rows.withColumn("_b", F.when(probe, F.col("_b") + F.lit(step)).otherwise(F.col("_b")))
+        step //= 2
+    return rows
+
+
+def bucketed(long: DataFrame, buckets: int) -> DataFrame:
+    """(column_name, value) rows -> (column_name, value, cnt, n, _b): distinct values dealt to ranges of about equal counts."""
+    counts = long.groupBy(K, V).agg(F.count(F.lit(1)).alias("cnt"))
+    sizes = counts.groupBy(K).agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("_distinct"))
+    # One row per column name each, with at most ``buckets`` splitters: bounded by the column list.
+    cuts = sizes.join(splitters(counts, sizes, buckets), K, "left")
+    return with_bucket(counts.join(F.broadcast(cuts.select(K, "n", "_splits")), K), buckets).select(K, V, "cnt", "n", "_b")
+
+
 def cumulative(long: DataFrame, buckets: int | None = None) -> DataFrame:
     """(column_name, value) rows -> (column_name, value, cnt, before, n)."""
-    p = buckets or max(8, shuffle_partitions(long.sparkSession))
-    counts = long.groupBy(K, V).agg(F.count(F.lit(1)).alias("cnt"))
-    stats = counts.groupBy(K).agg(F.min(V).alias("_lo"), F.max(V).alias("_hi"), F.sum("cnt").alias("n"))
-    span = F.col("_hi") - F.col("_lo")
-    bucket = F.when(span > 0, F.least(F.lit(p - 1), F.floor((F.col(V) - F.col("_lo")) / span * p))) \
-        .otherwise(F.lit(0)).cast("int")
-    # stats has one row per column name: bounded by the column list.
-    b = counts.join(F.broadcast(stats), K).withColumn("_b", bucket)
+    b = bucketed(long, buckets or max(8, shuffle_partitions(long.sparkSession)))
     w_in = Window.partitionBy(K, "_b").orderBy(V).rowsBetween(Window.unboundedPreceding, -1)
     b = b.withColumn("_before_in", F.coalesce(F.sum("cnt").over(w_in), F.lit(0)))
     totals = b.groupBy(K, "_b").agg(F.sum("cnt").alias("_bt"))
