@@ -71,8 +71,7 @@ def user_vs_segment(df: DataFrame, segment: str, variables: list[str] = PROFILE_
     """Every user's values against the mean of their segment: % difference, 1 decimal."""
     m = segment_means(df, segment, variables)
     m = m.select(segment, *[F.col(v).alias(f"_m_{v}") for v in variables])
-    # m holds one row per segment.
-    j = df.select(id_col, segment, *variables).join(F.broadcast(m), segment)
+    j = df.select(id_col, segment, *variables).join(m, segment)  # broadcast at run time if m is small
     long = j.select(id_col, segment, F.explode(F.array(*[
         F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("valor_usuario"),
                  F.col(f"_m_{v}").alias("media_segmento")) for v in variables])).alias("r")).select(id_col, segment, "r.*")

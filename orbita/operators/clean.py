@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import BASE_CONTRACT, Contract, DataQualityError
+from ..contracts import BASE_CONTRACT, Contract
+from ..errors import CleaningRefused
 from ..functions.numeric import finite_or_null, out_of_domain, to_double
 from ..session import materialize
 from . import distribution as D
@@ -23,7 +24,7 @@ from . import distribution as D
 def require_columns(df: DataFrame, contract: Contract = BASE_CONTRACT) -> None:
     missing = sorted(set(contract.columns) - set(df.columns))
     if missing:
-        raise DataQualityError(f"missing required columns for preparation: {missing}")
+        raise CleaningRefused(f"missing required columns for preparation: {missing}")
 
 
 def dedup_exact(df: DataFrame, contract: Contract = BASE_CONTRACT) -> DataFrame:
@@ -44,16 +45,16 @@ def id_gate_counts(df: DataFrame, contract: Contract = BASE_CONTRACT) -> DataFra
 
 
 def enforce_id_gate(df: DataFrame, contract: Contract = BASE_CONTRACT) -> None:
-    """Action: raise DataQualityError when any id is unusable (ids are never imputed)."""
+    """Action: raise CleaningRefused when any id is unusable (ids are never imputed)."""
     r = id_gate_counts(df, contract).first()
     if r["ids_invalidos"]:
-        raise DataQualityError(f"{r['ids_invalidos']} null or non-numeric ids")
+        raise CleaningRefused(f"{r['ids_invalidos']} null or non-numeric ids")
     if r["ids_no_enteros"]:
-        raise DataQualityError("id column holds non-integer values")
+        raise CleaningRefused("id column holds non-integer values")
     if r["ids_no_positivos"]:
-        raise DataQualityError("id column holds values <= 0")
+        raise CleaningRefused("id column holds values <= 0")
     if r["ids_duplicados"]:
-        raise DataQualityError(f"duplicated ids with possibly conflicting data: {r['ids_duplicados']}")
+        raise CleaningRefused(f"duplicated ids with possibly conflicting data: {r['ids_duplicados']}")
 
 
 def coerce_numeric(df: DataFrame, contract: Contract = BASE_CONTRACT) -> DataFrame:
@@ -100,7 +101,7 @@ def check_imputable(masked: DataFrame, contract: Contract = BASE_CONTRACT) -> No
     r = masked.agg(*[F.count(c).alias(c) for c in contract.value_columns]).first()
     empty = [c for c in contract.value_columns if r[c] == 0]
     if empty:
-        raise DataQualityError(f"cannot impute columns without valid values: {empty}")
+        raise CleaningRefused(f"cannot impute columns without valid values: {empty}")
 
 
 def masked(df: DataFrame, contract: Contract = BASE_CONTRACT, ids_unique: bool = False) -> DataFrame:

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import BASE_COLUMNS, ID, DataIntegrationError
+from ..contracts import BASE_COLUMNS, ID
+from ..errors import JoinRefused
 
 
 @dataclass
@@ -19,10 +20,10 @@ class Integration:
 def check_gate(issues: DataFrame | None) -> None:
     """Integration needs a validation report without errors (action on a tiny table)."""
     if issues is None:
-        raise DataIntegrationError("integration requires a validation report")
+        raise JoinRefused("integration requires a validation report")
     n = issues.filter(F.col("severity") == "error").limit(1).count()
     if n:
-        raise DataIntegrationError("the validation report contains blocking errors")
+        raise JoinRefused("the validation report contains blocking errors")
 
 
 def join_one_to_one(behaviour: DataFrame, profile: DataFrame, id_column: str = ID,
@@ -35,11 +36,11 @@ def join_one_to_one(behaviour: DataFrame, profile: DataFrame, id_column: str = I
     """
     shared = sorted((set(behaviour.columns) & set(profile.columns)) - {id_column})
     if shared:
-        raise DataIntegrationError(f"both sources carry the same non-key columns: {shared}")
+        raise JoinRefused(f"both sources carry the same non-key columns: {shared}")
     joined = behaviour.join(profile, id_column, "inner")
     missing = sorted(set(columns) - set(joined.columns))
     if missing:
-        raise DataIntegrationError(f"integrated table lacks required columns: {missing}")
+        raise JoinRefused(f"integrated table lacks required columns: {missing}")
     discarded = sorted(set(joined.columns) - set(columns))
     return Integration(joined.select(*columns), discarded)
 
@@ -63,7 +64,7 @@ def check_row_count(base: DataFrame, shared_ids: int) -> int:
     """Action: the join must produce exactly one row per shared id."""
     n = base.count()
     if n == 0:
-        raise DataIntegrationError("the integration produced no rows")
+        raise JoinRefused("the integration produced no rows")
     if n != shared_ids:
-        raise DataIntegrationError(f"integrated rows ({n}) differ from shared ids ({shared_ids})")
+        raise JoinRefused(f"integrated rows ({n}) differ from shared ids ({shared_ids})")
     return n

@@ -3,12 +3,13 @@
 Every candidate (estimator x grid point) is cross-validated on the
 deterministic ``fold`` column (stratified for classification), so folds do not
 depend on partitioning.  The winner is chosen by mean CV score only; the
-test split is an audit.  Candidate fits run concurrently
-(``CrossValidator.parallelism``), each one distributed.
+test split is an audit.  Candidate fits run concurrently from driver threads,
+each one distributed, and are kept in a ledger (:mod:`.ledger`).
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -17,11 +18,12 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionE
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import FOREST_DEPTHS, FOREST_TREES, LOGISTIC_C, RANDOM_STATE
+from .ledger import FitLedger
 
 VEC = "features_vec"
 # Spark trees are capped at depth 30: "no limit" maps to the cap.
@@ -87,28 +89,51 @@ def classification_candidates(features: list[str], target: str, n_train: int,
     ]
 
 
-def select(train: DataFrame, everything: DataFrame, candidates: list[Candidate], evaluator, n_folds: int,
-           parallelism: int = 4, seed: int = RANDOM_STATE) -> Selection:
-    """Cross-validate every candidate on ``fold``; winner by mean CV score."""
-    spark = train.sparkSession
-    rows, best = [], None
+def _fits(candidates: list[Candidate], n_folds: int) -> list[tuple]:
+    """(candidate, grid point, description, fold) of every fit, the most expensive first."""
+    out = []
     for cand in candidates:
-        grid = cand.grid if cand.grid != [{}] else ParamGridBuilder().build()
-        cv = CrossValidator(estimator=cand.pipeline, estimatorParamMaps=grid, evaluator=evaluator,
-                            numFolds=n_folds, foldCol="fold", parallelism=parallelism, seed=seed)
-        m = cv.fit(train)
-        stds = list(m.stdMetrics) if m.stdMetrics else [0.0] * len(m.avgMetrics)
-        for pm, mean, std in zip(grid, m.avgMetrics, stds):
-            desc = cand.describe(pm) if pm else cand.describe({})
-            rows.append((cand.name, desc, float(mean), float(std)))
-            if best is None or mean > best[0]:
-                best = (mean, cand, pm, desc)
-    _, cand, pm, desc = best
-    est = cand.pipeline.copy(pm) if pm else cand.pipeline
-    holdout = est.fit(train)
-    production = est.fit(everything)
-    table = spark.createDataFrame(rows, "modelo string, parametros string, cv_mean double, cv_std double")
-    return Selection(table, cand.name, desc, holdout, production)
+        for pm in cand.grid:
+            cost = 1
+            for param, value in pm.items():
+                cost *= value if param.name in ("numTrees", "maxDepth") else 1
+            out += [(cost, cand, pm, cand.describe(pm), fold) for fold in range(n_folds)]
+    return [f[1:] for f in sorted(out, key=lambda f: (-f[0], f[4]))]
+
+
+def select(train: DataFrame, everything: DataFrame, candidates: list[Candidate], evaluator, n_folds: int,
+           ledger: FitLedger, parallelism: int | None = None) -> Selection:
+    """Cross-validate every candidate on ``fold``; winner by mean CV score, refitted on train and on all rows.
+
+    Every fit is looked up in the ledger first and recorded when it is done, so an interrupted selection
+    repeats no fit.  Fits run concurrently from ``parallelism`` driver threads, each one distributed.
+    """
+    workers = parallelism or max(4, min(8, train.sparkSession.sparkContext.defaultParallelism))
+    known = ledger.scores()
+    open_fits = [f for f in _fits(candidates, n_folds) if (f[0].name, f[2], f[3]) not in known]
+
+    def one(fit) -> None:
+        cand, pm, desc, fold = fit
+        model = cand.pipeline.copy(pm).fit(train.filter(F.col("fold") != fold))
+        ledger.record(cand.name, desc, fold, float(evaluator.evaluate(model.transform(train.filter(F.col("fold") == fold)))))
+
+    if open_fits:
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            list(pool.map(one, open_fits))
+    table = cv_table(ledger)
+    first = {(c.name, c.describe(pm)): -k for k, (c, pm) in enumerate((c, pm) for c in candidates for pm in c.grid)}
+    rows = [r for r in table.collect() if (r["modelo"], r["parametros"]) in first]  # one row per candidate
+    top = max(rows, key=lambda r: (r["cv_mean"], first[r["modelo"], r["parametros"]]))
+    cand = next(c for c in candidates if c.name == top["modelo"])
+    estimator = cand.pipeline.copy(next(pm for pm in cand.grid if cand.describe(pm) == top["parametros"]))
+    return Selection(table, top["modelo"], top["parametros"], ledger.model("holdout", lambda: estimator.fit(train)),
+                     ledger.model("production", lambda: estimator.fit(everything)))
+
+
+def cv_table(ledger: FitLedger) -> DataFrame:
+    """(modelo, parametros, cv_mean, cv_std) from the recorded fits (population standard deviation over folds)."""
+    return (ledger.table().groupBy("modelo", "parametros")
+            .agg(F.avg("score").alias("cv_mean"), F.stddev_pop("score").alias("cv_std")))
 
 
 def r2_evaluator(target: str) -> RegressionEvaluator:

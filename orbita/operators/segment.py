@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..contracts import (ID, K_MAX, K_MIN, KMEANS_FEATURES, KMEANS_RESTARTS, MIN_KMEANS_ROWS, RANDOM_STATE,
-                         ModelTrainingError)
+from ..contracts import ID, K_MAX, K_MIN, KMEANS_FEATURES, KMEANS_RESTARTS, MIN_KMEANS_ROWS, RANDOM_STATE
+from ..errors import ModelInputRefused
 from ..functions.kneedle import elbow_convex_decreasing
 from ..session import ship_package
 
@@ -31,7 +31,7 @@ def kmeans_input(clean: DataFrame, features: list[str] = KMEANS_FEATURES, id_col
     """id + features, after the contract checks (one aggregate action when ``check``)."""
     missing = sorted(set(features + [id_col]) - set(clean.columns))
     if missing:
-        raise ModelTrainingError(f"missing KMeans columns: {missing}")
+        raise ModelInputRefused(f"missing KMeans columns: {missing}")
     out = clean.select(id_col, *[F.col(c).cast("double").alias(c) for c in features])
     if check:
         bad = sum((F.count_if(F.col(c).isNull() | F.isnan(c) | (F.abs(F.col(c)) == float("inf"))) for c in features),
@@ -39,11 +39,11 @@ def kmeans_input(clean: DataFrame, features: list[str] = KMEANS_FEATURES, id_col
         r = out.agg(F.count(F.lit(1)).alias("n"), (F.count(id_col) - F.count_distinct(id_col)).alias("dup"),
                     bad.alias("bad")).first()
         if r["dup"]:
-            raise ModelTrainingError("duplicated ids in KMeans input")
+            raise ModelInputRefused("duplicated ids in KMeans input")
         if r["bad"]:
-            raise ModelTrainingError("null or infinite values in KMeans input")
+            raise ModelInputRefused("null or infinite values in KMeans input")
         if r["n"] < MIN_KMEANS_ROWS:
-            raise ModelTrainingError(f"KMeans needs at least {MIN_KMEANS_ROWS} rows")
+            raise ModelInputRefused(f"KMeans needs at least {MIN_KMEANS_ROWS} rows")
     return out
 
 
@@ -250,9 +250,15 @@ def kmeans_restarts(points: DataFrame, features: list[str], configs: list, id_co
     return {c: (centres[c], inertia[c]) for c in ks}
 
 
-def assign_expr(C: np.ndarray, features: list[str]) -> Column:
-    """Nearest centre (first on ties) as a JVM expression over the feature columns."""
-    dists = [sum(((F.col(f) - F.lit(float(C[j, i]))) * (F.col(f) - F.lit(float(C[j, i])))
+def scaled_columns(stats_rows: list) -> dict[str, Column]:
+    """The scaled value of each feature as an expression over the raw columns."""
+    return {r["column_name"]: (F.col(r["column_name"]) - F.lit(r["mean"])) / F.lit(r["std"]) for r in stats_rows}
+
+
+def assign_expr(C: np.ndarray, features: list[str], values: dict[str, Column] | None = None) -> Column:
+    """Nearest centre (first on ties) as a JVM expression over the feature columns, or over their ``values``."""
+    values = values or {f: F.col(f) for f in features}
+    dists = [sum(((values[f] - F.lit(float(C[j, i]))) * (values[f] - F.lit(float(C[j, i])))
                   for i, f in enumerate(features)), F.lit(0.0)) for j in range(len(C))]
     arr = F.array(*dists)
     return (F.array_position(arr, F.array_min(arr)) - 1).cast("int")
@@ -268,7 +274,7 @@ def k_sweep(scaled: DataFrame, n_rows: int, seed: int = RANDOM_STATE, k_min: int
     """
     top = min(k_max, n_rows - 1)
     if top < k_min:
-        raise ModelTrainingError("not enough rows to evaluate clusters")
+        raise ModelInputRefused("not enough rows to evaluate clusters")
     ks = list(range(k_min, top + 1))
     configs = [(k, seed + i) for k in ks for i in range(restarts)]
     fits = kmeans_restarts(scaled, features, configs, id_col, max_iter)
@@ -289,13 +295,80 @@ def k_sweep(scaled: DataFrame, n_rows: int, seed: int = RANDOM_STATE, k_min: int
     return Sweep(table, {k: best[k][0] for k in ks})
 
 
+#: Segments that per-segment statistics are held for.
+MAX_SEGMENTS = 256
+
+
+def check_segments(df: DataFrame, label: str, most: int = MAX_SEGMENTS) -> None:
+    """Refuse a label column of more than ``most`` values before anything is collected or broadcast per label."""
+    if df.select(label).distinct().limit(most + 1).count() > most:
+        raise ModelInputRefused(f"{label} has more than {most} segments")
+
+
+def silhouette_sample(scaled: DataFrame, label: str, features: list[str] = KMEANS_FEATURES, id_col: str = ID,
+                      per_segment: int = 200, tile: int = 4096) -> DataFrame:
+    """Exact Euclidean silhouettes of a hash-stratified row sample: per segment the mean, and a 95 % bound on its error.
+
+    Of each segment the ``per_segment`` rows of least ``md5(id)`` are taken (all, if fewer).  Their distances to *every* row are
+    summed tile against tile in the tasks that hold the rows: a task emits one sum per sampled row and segment it met, never
+    a pair.  The sample is bounded by segments x ``per_segment`` and goes to every task.  The bound is the normal one with the
+    finite-population correction, 0 where the sample is the whole segment.  A segment of one row scores 0.
+    """
+    check_segments(scaled, label)
+    spark = scaled.sparkSession
+    ship_package(spark)
+    # Row numbers within a segment, of the few least hashes only: the limit is pushed below the shuffle.
+    order = Window.partitionBy(label).orderBy(F.md5(F.col(id_col).cast("string")), id_col)
+    chosen = (scaled.select(id_col, label, *features).withColumn("_place", F.row_number().over(order))
+              .where(F.col("_place") <= per_segment).drop("_place").orderBy(label, id_col).toPandas())
+    points = chosen[features].to_numpy(float)
+
+    def sums(batches):
+        total: dict = {}
+        for batch in batches:
+            for key, part in batch.groupby("_label", dropna=False):
+                x = part[features].to_numpy(float)
+                entry = total.setdefault(None if pd.isna(key) else key, [0, np.zeros(len(points))])
+                entry[0] += len(x)
+                for a in range(0, len(x), tile):
+                    t = x[a:a + tile]
+                    square = (points ** 2).sum(1)[:, None] + (t ** 2).sum(1)[None, :] - 2 * points @ t.T
+                    near = square < 1e-6 * (1 + (points ** 2).sum(1))[:, None]  # cancellation: by differences instead
+                    i, j = np.nonzero(near)
+                    square[i, j] = ((points[i] - t[j]) ** 2).sum(1)
+                    entry[1] += np.sqrt(np.maximum(square, 0)).sum(1)
+        for key, (n, distance) in total.items():
+            yield pd.DataFrame({"_segment": [key] * len(points), "_row": np.arange(len(points)), "_n": n, "_d": distance})
+
+    kind = scaled.schema[label].dataType.simpleString()
+    met = (scaled.select(F.col(label).alias("_label"), *features)
+           .mapInPandas(sums, f"_segment {kind}, _row long, _n long, _d double")
+           .groupBy("_segment", "_row").agg(F.sum("_n").alias("_n"), F.sum("_d").alias("_d")))
+    chosen["_row"] = np.arange(len(chosen))
+    own = spark.createDataFrame([(int(r), None if pd.isna(v) else v) for r, v in zip(chosen["_row"], chosen[label].tolist())],
+                                f"_row long, {label} {kind}")
+    mine = F.col("_segment").eqNullSafe(F.col(label))
+    per_row = (met.join(F.broadcast(own), "_row").groupBy("_row", label)
+               .agg(F.max(F.when(mine, F.col("_n"))).alias("_size"), F.max(F.when(mine, F.col("_d") / F.greatest(F.col("_n") - 1, F.lit(1)))).alias("_a"),
+                    F.min(F.when(~mine, F.col("_d") / F.col("_n"))).alias("_b")))
+    s = F.when((F.col("_size") == 1) | F.col("_b").isNull() | (F.greatest("_a", "_b") == 0), 0.0).otherwise(
+        (F.col("_b") - F.col("_a")) / F.greatest("_a", "_b"))
+    m = F.count(F.lit(1))
+    size = F.max("_size")
+    spread = F.coalesce(F.stddev_samp("_s"), F.lit(0.0)) / F.sqrt(m) * F.sqrt((size - m) / F.greatest(size - 1, F.lit(1)))
+    return per_row.select(label, "_size", s.alias("_s")).groupBy(label).agg(
+        size.alias("usuarios"), m.alias("muestra"), F.avg("_s").alias("silhouette"), (F.lit(1.96) * spread).alias("margen"))
+
+
 def silhouette_given(scaled: DataFrame, label: str, features: list[str] = KMEANS_FEATURES) -> DataFrame:
     """Mean squared-Euclidean silhouette of each segment, for labels that are given.
 
     Mean squared distances to a segment follow from its size, its vector sum and its sum of
     squared norms, so no pair is formed: one aggregate over the rows (segments x
-    features numbers on the driver), then one expression per row.  A segment of one row scores 0.
+    features numbers on the driver, at most ``MAX_SEGMENTS``), then one expression per row.  A segment of
+    one row scores 0.
     """
+    check_segments(scaled, label)
     norm = sum((F.col(f) * F.col(f) for f in features[1:]), F.col(features[0]) * F.col(features[0]))
     sums = scaled.groupBy(label).agg(F.count("*").alias("n"), F.sum(norm).alias("q"),
                                      *[F.sum(f).alias(f) for f in features]).collect()

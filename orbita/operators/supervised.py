@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import (CLASSIFICATION_FEATURES, CLASSIFICATION_TARGET, CV_FOLDS, ID, LABEL_SOURCE_COLUMNS,
-                         MIN_SUPERVISED_ROWS, RANDOM_STATE, REGRESSION_FEATURES, REGRESSION_TARGET,
-                         TEST_SHARE_PERCENT, ModelTrainingError)
+                         MIN_SUPERVISED_ROWS, RANDOM_STATE, REGRESSION_FEATURES, REGRESSION_TARGET, TEST_SHARE_PERCENT)
+from ..errors import ModelInputRefused
 from ..functions.numeric import round_half_even
 from . import distribution as D
 
@@ -33,23 +33,23 @@ def check_supervised_input(df: DataFrame, features: list[str], target: str, id_c
     """Leakage guard and contract checks (schema-level, plus one aggregate action)."""
     leaks = sorted(set(features) & set(LABEL_SOURCE_COLUMNS)) if target == CLASSIFICATION_TARGET else []
     if target in features:
-        raise ModelTrainingError(f"target {target} is listed as a feature")
+        raise ModelInputRefused(f"target {target} is listed as a feature")
     if leaks:
-        raise ModelTrainingError(f"label-source columns used as features: {leaks}")
+        raise ModelInputRefused(f"label-source columns used as features: {leaks}")
     missing = sorted(set(features + [id_col]) - set(df.columns))
     if missing:
-        raise ModelTrainingError(f"missing model columns: {missing}")
+        raise ModelInputRefused(f"missing model columns: {missing}")
     cols = features + ([target] if target in df.columns else [])
     r = df.agg(F.count(F.lit(1)).alias("n"), (F.count(id_col) - F.count_distinct(id_col)).alias("dup"),
                sum((F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
                                | (F.abs(F.col(c).cast("double")) == float("inf"))) for c in cols),
                    F.lit(0)).alias("bad")).first()
     if r["dup"]:
-        raise ModelTrainingError("duplicated ids in model input")
+        raise ModelInputRefused("duplicated ids in model input")
     if r["bad"]:
-        raise ModelTrainingError("null or infinite values in model input")
+        raise ModelInputRefused("null or infinite values in model input")
     if r["n"] < MIN_SUPERVISED_ROWS:
-        raise ModelTrainingError(f"at least {MIN_SUPERVISED_ROWS} rows are required")
+        raise ModelInputRefused(f"at least {MIN_SUPERVISED_ROWS} rows are required")
 
 
 def median_of(df: DataFrame, column: str) -> Column:
@@ -82,10 +82,10 @@ def check_classes(labelled: DataFrame) -> int:
     for part in (0, 1):
         for cls in (0, 1):
             if not got.get((part, cls)):
-                raise ModelTrainingError("both classes must appear in train and test")
+                raise ModelInputRefused("both classes must appear in train and test")
     folds = min(CV_FOLDS, got[(0, 0)], got[(0, 1)])
     if folds < 2:
-        raise ModelTrainingError("not enough rows per class for cross-validation")
+        raise ModelInputRefused("not enough rows per class for cross-validation")
     return folds
 
 

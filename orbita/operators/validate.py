@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contracts import (BASE_COLUMNS, BEHAVIOUR_COLUMNS, ID, INTEGER_COLUMNS, PROFILE_COLUMNS, RANGES,
-                         SchemaValidationError)
+from ..contracts import BASE_COLUMNS, BEHAVIOUR_COLUMNS, ID, INTEGER_COLUMNS, PROFILE_COLUMNS, RANGES
+from ..errors import RulesViolated
 from ..functions.numeric import is_infinite, to_double
 
 ISSUE_COLUMNS = ["stage", "code", "severity", "column_name", "n"]
@@ -184,7 +184,7 @@ def validate_clean(df: DataFrame, columns: list[str] = BASE_COLUMNS, id_column:
 
 
 def raise_if_invalid(issues: DataFrame, stage: str, limit: int = 1000) -> list:
-    """Action: raise SchemaValidationError joining every error as ``[CODE] column n``.
+    """Action: raise RulesViolated joining every error as ``[CODE] column n``.
 
     Issue tables hold at most a few rows per contract column, so collecting
     them is bounded by the contract, not by the data.
@@ -192,5 +192,5 @@ def raise_if_invalid(issues: DataFrame, stage: str, limit: int = 1000) -> list:
     errors = issues.filter(F.col("severity") == "error").limit(limit).collect()
     if errors:
         msgs = [f"[{r['code']}] {r['column_name'] or ''} n={r['n']}".strip() for r in errors]
-        raise SchemaValidationError(f"validation failed at stage '{stage}': " + " | ".join(msgs))
+        raise RulesViolated(f"validation failed at stage '{stage}': " + " | ".join(msgs))
     return errors

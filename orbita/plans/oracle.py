@@ -185,6 +185,11 @@ def with_chain(final: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in CTES) + "\n" + final
 
 
+def with_ctes(more: list[str], final: str) -> str:
+    """The chain, then further CTEs (``name AS (...)``), then ``final``."""
+    return "WITH " + ",\n".join([f"{n} AS ({s})" for n, s in CTES] + more) + "\n" + final
+
+
 # ---- validation oracles -----------------------------------------------------------
 
 def source_issues_sql(table: str, required: list[str], actual: list[str], source: str,

@@ -631,13 +631,31 @@ def _reasons_sql(fields) -> str:
     return f"concat_ws(',', {', '.join(parts)})"
 
 
+_REQUESTS_SQL = f"""(
+  SELECT *, CASE WHEN id_cliente % 53 = 0 THEN 'x' END AS cupon FROM base_raw
+  UNION ALL SELECT *, NULL FROM (SELECT * REPLACE (CAST(400 AS BIGINT) AS edad) FROM base_raw WHERE id_cliente % 41 = 0)
+  UNION ALL SELECT *, NULL FROM (SELECT * REPLACE (CAST(NULL AS BIGINT) AS id_cliente) FROM base_raw WHERE id_cliente % 43 = 0))"""
+
+
+def requests(spark, sf) -> DataFrame:
+    """The raw integrated rows as a batch of requests; some come twice under one id (once with an impossible
+    age), some without an id, some with a field that the contract does not know."""
+    raw = base(spark, sf)
+    told = raw.withColumn("cupon", F.when(F.col("id_cliente") % 53 == 0, "x"))
+    again = raw.where(F.col("id_cliente") % 41 == 0).withColumn("edad", F.lit(400).cast("long"))
+    nameless = raw.where(F.col("id_cliente") % 43 == 0).withColumn("id_cliente", F.lit(None).cast("long"))
+    return told.unionByName(again, True).unionByName(nameless, True)
+
+
+_REASONS = f"concat_ws(',', nullif({_reasons_sql(KMEANS_FEATURES)}, ''), CASE WHEN cupon IS NOT NULL THEN 'cupon:unknown_field' END)"
+
+
 @register("score_input_split", O.with_chain(f"""
-SELECT id_cliente, CAST({_reasons_sql(KMEANS_FEATURES)} = '' AS INTEGER) AS aceptado,
-       {_reasons_sql(KMEANS_FEATURES)} AS motivos FROM base_raw"""))
+SELECT id_cliente, CAST({_REASONS} = '' AS INTEGER) AS aceptado, {_REASONS} AS motivos FROM {_REQUESTS_SQL}"""))
 def q_score_input_split(spark, sf):
-    """The raw integrated rows as a batch of scoring requests: accepted or rejected with reasons."""
-    return SC.score_input_split(base(spark, sf), KMEANS_FEATURES)
+    """A batch of scoring requests: accepted or rejected with reasons, row by row."""
+    return SC.score_input_split(requests(spark, sf), KMEANS_FEATURES)
 
 
 # Model, scoring and sink queries register themselves on import.
-from . import registry_ml  # noqa: E402,F401
+from . import registry_certificates, registry_io, registry_ml  # noqa: E402,F401

@@ -18,6 +18,7 @@ from ..operators import models as M
 from ..operators import scoring as SC
 from ..operators import segment as SG
 from ..operators import supervised as SV
+from ..operators.ledger import FitLedger
 from ..sources import files, tpch
 from . import oracle as O
 from . import stages as S
@@ -69,11 +70,6 @@ def q_segment_users(spark, sf):
     return segmentation(spark, sf)["users"]
 
 
-@register("pca_2d")
-def q_pca_2d(spark, sf):
-    return segmentation(spark, sf)["users"].select(ID, "pc1", "pc2")
-
-
 @register("cluster_centroids")
 def q_cluster_centroids(spark, sf):
     users = segmentation(spark, sf)["users"]
@@ -113,60 +109,65 @@ def q_cluster_relative_profile(spark, sf):
 
 # ---- supervised models -----------------------------------------------------------------
 
-def supervised(spark, sf) -> dict:
+def model_rows(spark, sf) -> DataFrame:
+    """Labelled rows that passed the model input gates of both tasks."""
     def build():
         lab = labelled(spark, sf)
         SV.check_supervised_input(lab, REGRESSION_FEATURES, REGRESSION_TARGET)
         SV.check_supervised_input(lab, CLASSIFICATION_FEATURES, CLASSIFICATION_TARGET)
+        return lab
+    return S.memo(spark, sf, "model_rows", build)
+
+
+def regression(spark, sf) -> M.Selection:
+    def build():
+        lab = model_rows(spark, sf)
+        train = lab.filter(F.col("is_test") == 0)
+        rows = S.sized(S.materialize(SV.folds(train)), train.count()).persist()
+        return M.select(rows, lab, M.regression_candidates(REGRESSION_FEATURES, REGRESSION_TARGET),
+                        M.r2_evaluator(REGRESSION_TARGET), 5, FitLedger(spark, "regression", rows, lab))
+    return S.memo(spark, sf, "regression", build)
+
+
+def classification(spark, sf) -> M.Selection:
+    def build():
+        lab = model_rows(spark, sf)
         n_folds = SV.check_classes(lab)
         train = lab.filter(F.col("is_test") == 0)
-        n_train = train.count()
-        reg_train = S.sized(S.materialize(SV.folds(train)), n_train).persist()
-        clf_train = S.sized(S.materialize(SV.folds(train, k=n_folds, label=CLASSIFICATION_TARGET)), n_train).persist()
-        # The two selections are independent: run them side by side from two driver threads.
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            reg_f = pool.submit(M.select, reg_train, lab,
-                                M.regression_candidates(REGRESSION_FEATURES, REGRESSION_TARGET),
-                                M.r2_evaluator(REGRESSION_TARGET), 5)
-            clf_f = pool.submit(M.select, clf_train, lab,
-                                M.classification_candidates(CLASSIFICATION_FEATURES, CLASSIFICATION_TARGET, n_train),
-                                M.f1_evaluator(CLASSIFICATION_TARGET), n_folds)
-            reg, clf = reg_f.result(), clf_f.result()
-        return {"reg": reg, "clf": clf, "labelled": lab}
-    return S.memo(spark, sf, "supervised", build)
+        n = train.count()
+        rows = S.sized(S.materialize(SV.folds(train, k=n_folds, label=CLASSIFICATION_TARGET)), n).persist()
+        return M.select(rows, lab, M.classification_candidates(CLASSIFICATION_FEATURES, CLASSIFICATION_TARGET, n),
+                        M.f1_evaluator(CLASSIFICATION_TARGET), n_folds, FitLedger(spark, "classification", rows, lab))
+    return S.memo(spark, sf, "classification", build)
 
 
 @register("cv_regression")
 def q_cv_regression(spark, sf):
-    return supervised(spark, sf)["reg"].cv_table
+    return regression(spark, sf).cv_table
 
 
 @register("cv_classification")
 def q_cv_classification(spark, sf):
-    return supervised(spark, sf)["clf"].cv_table
+    return classification(spark, sf).cv_table
 
 
 @register("best_model")
 def q_best_model(spark, sf):
-    sup = supervised(spark, sf)
-    a = SV.best_model(sup["reg"].cv_table.withColumn("modelo", F.concat_ws(":", "modelo", "parametros")))
-    b = SV.best_model(sup["clf"].cv_table.withColumn("modelo", F.concat_ws(":", "modelo", "parametros")))
+    a = SV.best_model(regression(spark, sf).cv_table.withColumn("modelo", F.concat_ws(":", "modelo", "parametros")))
+    b = SV.best_model(classification(spark, sf).cv_table.withColumn("modelo", F.concat_ws(":", "modelo", "parametros")))
     return a.withColumn("tarea", F.lit("regresion")).unionByName(b.withColumn("tarea", F.lit("clasificacion")))
 
 
 def _holdout_reg(spark, sf) -> DataFrame:
-    sup = supervised(spark, sf)
-    test = sup["labelled"].filter(F.col("is_test") == 1)
-    p = sup["reg"].holdout_model.transform(test)
+    test = model_rows(spark, sf).filter(F.col("is_test") == 1)
+    p = regression(spark, sf).holdout_model.transform(test)
     return p.select(ID, F.col(REGRESSION_TARGET).alias("valor_real"), F.col("prediction").alias("valor_predicho"),
                     (F.col(REGRESSION_TARGET) - F.col("prediction")).alias("residuo"))
 
 
 def _holdout_clf(spark, sf) -> DataFrame:
-    sup = supervised(spark, sf)
-    test = sup["labelled"].filter(F.col("is_test") == 1)
-    p = sup["clf"].holdout_model.transform(test)
+    test = model_rows(spark, sf).filter(F.col("is_test") == 1)
+    p = classification(spark, sf).holdout_model.transform(test)
     return p.select(ID, F.col(CLASSIFICATION_TARGET).alias("valor_real"),
                     F.col("prediction").cast("int").alias("valor_predicho"),
                     M.positive_probability().alias("probabilidad_riesgo"))
@@ -195,9 +196,8 @@ def q_model_classification_metrics(spark, sf):
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    sup = supervised(spark, sf)
-    a = M.feature_importance(sup["reg"].production_model, REGRESSION_FEATURES).withColumn("tarea", F.lit("regresion"))
-    b = M.feature_importance(sup["clf"].production_model, CLASSIFICATION_FEATURES) \
+    a = M.feature_importance(regression(spark, sf).production_model, REGRESSION_FEATURES).withColumn("tarea", F.lit("regresion"))
+    b = M.feature_importance(classification(spark, sf).production_model, CLASSIFICATION_FEATURES) \
         .withColumn("tarea", F.lit("clasificacion"))
     return a.unionByName(b)
 
@@ -205,9 +205,8 @@ def q_feature_importance(spark, sf):
 @register("model_compare")
 def q_model_compare(spark, sf):
     """Candidate comparison table (dashboard): every candidate's CV mean and std, both tasks."""
-    sup = supervised(spark, sf)
-    return sup["reg"].cv_table.withColumn("tarea", F.lit("regresion")).unionByName(
-        sup["clf"].cv_table.withColumn("tarea", F.lit("clasificacion")))
+    return regression(spark, sf).cv_table.withColumn("tarea", F.lit("regresion")).unionByName(
+        classification(spark, sf).cv_table.withColumn("tarea", F.lit("clasificacion")))
 
 
 # ---- batch scoring -------------------------------------------------------------------------
@@ -215,55 +214,49 @@ def q_model_compare(spark, sf):
 def accepted_requests(spark, sf) -> DataFrame:
     """The raw integrated rows as requests; rows failing the input contract are left out."""
     raw = base(spark, sf)
-    split = SC.score_input_split(raw, KMEANS_FEATURES)
-    ok = split.filter(F.col("aceptado") == 1).select(ID)
-    typed = raw.select(ID, *[F.col(c).try_cast("double").alias(c) for c in KMEANS_FEATURES])
-    return typed.join(ok, ID)
+    return SC.accepted(raw, KMEANS_FEATURES, known=raw.columns)
 
 
-def _assign(spark, sf, req: DataFrame) -> DataFrame:
-    seg = segmentation(spark, sf)
-    scaled = SG.scale(req, seg["stats"], vector=False)
-    nearest = SG.assign_expr(seg["centres"], KMEANS_FEATURES)
-    return scaled.select(ID, F.element_at(seg["relabel"], nearest).alias("cluster"))
+def with_cluster(seg: dict, req: DataFrame) -> DataFrame:
+    """``req`` with its ``cluster``, worked out in the row."""
+    z = SG.scaled_columns(seg["stats"])
+    return req.withColumn("cluster", F.element_at(seg["relabel"], SG.assign_expr(seg["centres"], KMEANS_FEATURES, z)))
 
 
-@register("assign_cluster")
-def q_assign_cluster(spark, sf):
-    return _assign(spark, sf, accepted_requests(spark, sf))
+def with_spend(model, req: DataFrame) -> DataFrame:
+    """``req`` with its ``gasto_predicho``."""
+    return model.transform(req).withColumn("gasto_predicho", SC.clamp_spend(F.col("prediction"))).select(*req.columns, "gasto_predicho")
 
 
-def _spend(spark, sf, req: DataFrame) -> DataFrame:
-    model = supervised(spark, sf)["reg"].production_model
-    return model.transform(req).select(ID, SC.clamp_spend(F.col("prediction")).alias("gasto_predicho"))
+def with_risk(model, req: DataFrame) -> DataFrame:
+    """``req`` with ``riesgo_predicho`` and ``probabilidad_riesgo``."""
+    return model.transform(req).select(*req.columns, F.col("prediction").cast("int").alias("riesgo_predicho"),
+                                       SC.clamp_probability(M.positive_probability()).alias("probabilidad_riesgo"))
 
 
-def _risk(spark, sf, req: DataFrame) -> DataFrame:
-    model = supervised(spark, sf)["clf"].production_model
-    return model.transform(req).select(ID, F.col("prediction").cast("int").alias("riesgo_predicho"),
-                                       SC.clamp_probability(M.positive_probability()).alias("probabilidad_riesgo"))
+@register("assign_cluster")
+def q_assign_cluster(spark, sf):
+    return with_cluster(segmentation(spark, sf), accepted_requests(spark, sf)).select(ID, "cluster")
 
 
 @register("score_spend")
 def q_score_spend(spark, sf):
-    return _spend(spark, sf, accepted_requests(spark, sf))
+    return with_spend(regression(spark, sf).production_model, accepted_requests(spark, sf)).select(ID, "gasto_predicho")
 
 
 @register("score_risk")
 def q_score_risk(spark, sf):
-    return _risk(spark, sf, accepted_requests(spark, sf))
+    scored = with_risk(classification(spark, sf).production_model, accepted_requests(spark, sf))
+    return scored.select(ID, "riesgo_predicho", "probabilidad_riesgo")
 
 
 @register("score_chain")
 def q_score_chain(spark, sf):
-    """Predicted spend replaces the observed one, then segment and risk are scored."""
-    req = accepted_requests(spark, sf)
-    spend = S.materialize(_spend(spark, sf, req))
-    req2 = S.materialize(req.drop("gasto_mensual").join(
-        spend.select(ID, F.col("gasto_predicho").alias("gasto_mensual")), ID))
-    seg = _assign(spark, sf, req2)
-    risk = _risk(spark, sf, req2)
-    return spend.join(seg, ID).join(risk, ID)
+    """Predicted spend replaces the observed one, then segment and risk are scored: one pass over the requests."""
+    spend = with_spend(regression(spark, sf).production_model, accepted_requests(spark, sf))
+    told = with_cluster(segmentation(spark, sf), spend.withColumn("gasto_mensual", F.col("gasto_predicho")))
+    scored = with_risk(classification(spark, sf).production_model, told)
+    return scored.select(ID, "gasto_predicho", "cluster", "riesgo_predicho", "probabilidad_riesgo")
 
 
 # ---- sources and sinks ---------------------------------------------------------------------
@@ -307,12 +300,6 @@ def q_read_json_doc(spark, sf):
     return files.read_json_doc(spark, path)
 
 
-@register("records_json")
-def q_records_json(spark, sf):
-    """Null-safe JSON records of the analytical table (NaN -> null, nulls kept)."""
-    return files.records_json(analytic(spark, sf))
-
-
 @register("stage_counts", O.with_chain("""
 SELECT 'integrado' AS stage, count(*) AS filas, count(DISTINCT id_cliente) AS ids FROM base_raw
 UNION ALL SELECT 'limpio', count(*), count(DISTINCT id_cliente) FROM clean
@@ -327,41 +314,6 @@ def q_stage_counts(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@register("published_tables", O.with_chain("""
-SELECT 'analytic' AS tabla, count(*) AS filas FROM analytic
-UNION ALL SELECT 'base', count(*) FROM base_raw
-UNION ALL SELECT 'clean', count(*) FROM clean
-UNION ALL SELECT 'kpis', count(*) FROM kpis"""))
-def q_published_tables(spark, sf):
-    """Deferred publication: tables first, manifest last; rows read back through the manifest."""
-    from . import pipeline as P
-    tables = {"base": base(spark, sf), "clean": clean_base(spark, sf), "analytic": analytic(spark, sf),
-              "kpis": kpis(spark, sf)}
-    run_dir = P.publish(tables, {"run_id": "check"}, files.scratch(spark, "published"))
-    outputs = P.read_manifest(spark, run_dir)["outputs"]  # one entry per table
-    parts = [spark.read.parquet(path).agg(F.lit(name).alias("tabla"), F.count(F.lit(1)).alias("filas"))
-             for name, path in sorted(outputs.items())]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-@register("manifest", O.with_chain("""
-SELECT (SELECT count(*) FROM base_raw) AS filas_base, (SELECT count(*) FROM clean) AS filas_clean,
-       (SELECT count(*) FROM analytic) AS filas_analytic, (SELECT count(*) FROM kpis) AS filas_kpis,
-       'deferred_until_all_stages_pass' AS estrategia, '_manifest' AS marcador, 'completed' AS estado"""))
-def q_manifest(spark, sf):
-    """Run manifest (deterministic part): a full gated run without models is published to the
-    shared folder, and the manifest it writes last is read back with Spark."""
-    from . import pipeline as P
-    res = P.run(spark, sf, files.scratch(spark, "run"), train_models=False)
-    doc = spark.read.json(f"{res.published_to}/_manifest")  # one JSON line
-    return doc.select(*[F.col(f"rows.{n}").cast("long").alias(f"filas_{n}") for n in ("base", "clean", "analytic", "kpis")],
-                      F.col("publication.strategy").alias("estrategia"),
-                      F.col("publication.completion_marker").alias("marcador"), F.col("status").alias("estado"))
-
-
 # ---- model inputs (relational, oracle-checked) -------------------------------------------
 
 _KF = ", ".join(KMEANS_FEATURES)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import getpass
 import os
 import tempfile
 import uuid
@@ -9,6 +10,8 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+from .errors import SharedFolderMissing
+
 # Conf applied when this package builds the session.  On a cluster the
 # deployment's own settings win: getOrCreate() keeps an existing session.
 DEFAULT_CONF = {
@@ -48,13 +51,17 @@ def get_session(master: str | None = None, app: str = "orbita", shuffle_partitio
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (reliable) folder there and we only read it.  When
-    it is unset -- local runs and tests -- a fresh folder is created once.
+    A cluster names a shared (reliable) folder there and we only read it; one that
+    names none is an error.  In local mode (tests), where all tasks share the machine, an unset
+    folder becomes one per user, so that a later session finds what a killed one recorded.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="orbita-ckpt-")
+        if not sc.master.startswith("local"):
+            raise SharedFolderMissing("spark.checkpoint.dir must name a folder that driver and executors share")
+        current = os.path.join(tempfile.gettempdir(), f"orbita-{getpass.getuser()}")
+        os.makedirs(current, exist_ok=True)
         spark.conf.set("spark.checkpoint.dir", current)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import ID, KMEANS_FEATURES
@@ -28,12 +27,8 @@ def score_batch(batch: DataFrame, score: Callable[[DataFrame], DataFrame], accep
                 fields: list[str] = KMEANS_FEATURES, epoch: int = 0) -> None:
     """Score one micro-batch; output goes to ``epoch=<n>`` folders overwritten as a
     whole, so a re-executed batch (lost executor, restart) does not duplicate rows."""
-    checked = SC.score_input_split(batch, fields)
-    rejected = checked.filter(F.col("aceptado") == 0)
-    ok_ids = checked.filter(F.col("aceptado") == 1).select(ID)
-    typed = batch.select(ID, *[F.col(c).try_cast("double").alias(c) for c in fields]).join(ok_ids, ID)
-    score(typed).write.mode("overwrite").parquet(f"{accepted_path}/epoch={epoch}")
-    rejected.write.mode("overwrite").parquet(f"{rejected_path}/epoch={epoch}")
+    score(SC.accepted(batch, fields)).write.mode("overwrite").parquet(f"{accepted_path}/epoch={epoch}")
+    SC.rejected(batch, fields).write.mode("overwrite").parquet(f"{rejected_path}/epoch={epoch}")
 
 
 def start(spark: SparkSession, source_dir: str, score: Callable[[DataFrame], DataFrame], accepted_path: str,

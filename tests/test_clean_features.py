@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orbita.contracts import BASE_COLUMNS, DataQualityError
+from orbita.contracts import BASE_COLUMNS
+from orbita.errors import CleaningRefused
 from orbita.operators import clean as C
 from orbita.operators import features as FE
 from orbita.operators import integrate as I
@@ -22,7 +23,7 @@ def analytic(base):
 def test_dedup_and_id_gate(base):
     doubled = base.unionByName(base.limit(2))
     assert C.dedup_exact(doubled).count() == 12
-    with pytest.raises(DataQualityError):
+    with pytest.raises(CleaningRefused):
         C.enforce_id_gate(doubled.withColumn("gasto_mensual", F.col("gasto_mensual") + 1).unionByName(base))
 
 
@@ -52,7 +53,7 @@ def test_integer_restore_is_half_even(spark, base):
 
 def test_all_null_column_cannot_be_imputed(base):
     b = base.withColumn("edad", F.lit(None).cast("long"))
-    with pytest.raises(DataQualityError):
+    with pytest.raises(CleaningRefused):
         C.check_imputable(C.masked(b))
 
 

@@ -1,12 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from orbita.contracts import KMEANS_FEATURES, ModelTrainingError
+from orbita.contracts import KMEANS_FEATURES
+from orbita.errors import ModelInputRefused
 from orbita.operators import segment as SG
 
 
 def test_missing_feature_is_rejected(spark, behaviour):
-    with pytest.raises(ModelTrainingError):
+    with pytest.raises(ModelInputRefused):
         SG.kmeans_input(behaviour.drop("edad"))
 
 

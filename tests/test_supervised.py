@@ -1,14 +1,15 @@
 import pytest
 from pyspark.sql import functions as F
 
-from orbita.contracts import CLASSIFICATION_TARGET, ModelTrainingError
+from orbita.contracts import CLASSIFICATION_TARGET
+from orbita.errors import ModelInputRefused
 from orbita.operators import supervised as SV
 
 
 def test_leakage_guard(spark, behaviour):
-    with pytest.raises(ModelTrainingError):
+    with pytest.raises(ModelInputRefused):
         SV.check_supervised_input(behaviour, ["sesiones_semana"], CLASSIFICATION_TARGET)
-    with pytest.raises(ModelTrainingError):
+    with pytest.raises(ModelInputRefused):
         SV.check_supervised_input(behaviour, ["gasto_mensual"], "gasto_mensual")
 
 

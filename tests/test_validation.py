@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from orbita.contracts import BEHAVIOUR_COLUMNS, PROFILE_COLUMNS, DataIntegrationError, SchemaValidationError
+from orbita.contracts import BEHAVIOUR_COLUMNS, PROFILE_COLUMNS
+from orbita.errors import JoinRefused, RulesViolated
 from orbita.operators import integrate as I
 from orbita.operators import validate as V
 
@@ -20,9 +21,9 @@ def test_clean_pair_has_no_errors_and_joins_one_to_one(behaviour, profile):
 def test_missing_column_is_an_error_and_blocks_integration(behaviour, profile):
     issues = V.validate_sources(behaviour.drop("gasto_mensual"), profile)
     assert ("MISSING_REQUIRED_COLUMNS", "gasto_mensual") in codes(issues)
-    with pytest.raises(SchemaValidationError):
+    with pytest.raises(RulesViolated):
         V.raise_if_invalid(issues, "x")
-    with pytest.raises(DataIntegrationError):
+    with pytest.raises(JoinRefused):
         I.check_gate(issues)
 
 
@@ -70,7 +71,7 @@ def test_empty_source_stops(spark, behaviour):
 
 
 def test_homonym_columns_are_rejected(behaviour, profile):
-    with pytest.raises(DataIntegrationError):
+    with pytest.raises(JoinRefused):
         I.join_one_to_one(behaviour, profile.withColumn("gasto_mensual", F.lit(1.0)))
 
 
