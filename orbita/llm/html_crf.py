@@ -1,14 +1,19 @@
 """Main text of web pages by a linear-chain conditional random field over DOM leaf blocks.
 
 A page is cut into leaf blocks: runs of text without a block-level tag inside.  Each
-block has features of its ancestor tags (names, and words of their class, id and
-role) and of its text; the chain labels blocks as main or other.  Weights are trained
-by maximum likelihood on labelled pages, and pages are decoded by Viterbi.
+block has features of its ancestor tags (element names, what their class, id and role names stand for, and
+whether that is said within the innermost article or about it) and of its text; the chain labels
+blocks as main or other.  Weights are trained by maximum likelihood on labelled pages, and pages
+are decoded by Viterbi.
 
 Labelled pages come from two places: ``TEMPLATES``, page layouts whose blocks are
 marked by hand, filled with words of the table's own pages; and up to ``MAX_PAGES``
-pages of the table that have one ``article`` element, whose blocks are labelled by it
-(these also teach ads and menus as this table has them).
+pages of the table that have one ``article`` element and at most ``MAX_BLOCKS`` blocks, whose blocks are
+labelled by it (these also teach ads and menus as this table has them).  Training pages are whole;
+decoded pages have no bound.
+
+Text of scripts, styles, templates, frames, the page title, text areas and choice lists is none; text of formulas (``math``),
+drawings (``svg``) and ``noscript`` is text where it stands.
 
 Defined cases: a null html gives an empty text; markup that ends too early is read as
 far as it goes; pages without main blocks give an empty text; null page_ids and
@@ -30,22 +35,24 @@ from pyspark.sql import functions as F
 from .common import bound_batches
 
 #: Pages of the table that are trained on beside the templates.
-MAX_PAGES = 200
+MAX_PAGES, MAX_BLOCKS = 200, 256
 FILLINGS = 6
 ROUNDS, RATE, RIDGE, SEED = 150, 0.15, 1e-3, 5
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
                   r"""((?:[^>"'=]|=\s*"[^"]*(?:"|\Z)|=\s*'[^']*(?:'|\Z)|["'=])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)""", re.S)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?(?:false|until))|display\s*:\s*none""", re.I)
-_NAMES = re.compile(r"""\b(class|id|role|data-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>"']+)))?""")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")  # parts of camelCase names are words
 
 # Element names of HTML.
-RAW = {"script", "style", "noscript", "template", "textarea", "svg", "iframe", "title", "math", "select"}
+RAW = {"script", "style", "template", "textarea", "iframe", "title", "select"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "img", "input", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub",
-          "sup", "time", "tt", "u", "var", "wbr"}
+          "sup", "time", "tt", "u", "var", "wbr",
+          "noscript", "svg", "text", "tspan", "g", "defs", "path", "rect", "circle", "line", "math", "mrow", "mi", "mn", "mo", "msup", "msub",
+          "mfrac", "msqrt", "mtext", "semantics"}
 #: An element that an opening tag of the key closes first.
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
           "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
@@ -55,7 +62,7 @@ for _block in ("address article aside blockquote div dl fieldset footer form h1
 
 
 class Block:
-    """Text of a leaf block, the elements above it, and its share of link text."""
+    """Text of a leaf block, the elements above it, what the names of each stand for, and its share of link text."""
 
     __slots__ = ("text", "path", "names", "linked", "label")
 
@@ -67,7 +74,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
     """Blocks of a page in order; script, style and the like are no text."""
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], str]] = []  # element, words of its class, id and role, label
+    stack: list[tuple[str, tuple[str, ...], str]] = []  # element, groups of its names, label
     parts: list[str] = []
     linked = links = 0
 
@@ -76,9 +83,8 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                names = [w for _, words, _ in stack for w in words]
                 label = next((x for *_, x in reversed(stack) if x), "")
-                out.append(Block(text, [e for e, *_ in stack], names, min(1.0, linked / len(text)), label))
+                out.append(Block(text, [e for e, *_ in stack], [g for _, g, _ in stack], min(1.0, linked / len(text)), label))
             parts.clear()
         linked = 0
 
@@ -123,17 +129,8 @@ def leaf_blocks(page: str | None) -> list[Block]:
             continue
         if name in VOID or m[3].endswith("/"):
             continue
-        words, label = (), ""
-        if "=" in m[3]:
-            for key, *values in _NAMES.findall(m[3]):
-                value = next((v for v in values if v), "")
-                if key.lower() == "data-label":
-                    label = value
-                else:
-                    words += tuple(w.lower() for w in _WORD.findall(value))
-        if m[3] and _HIDDEN.search(m[3]):
-            words += ("hidden",)
-        stack.append((name, words, label))
+        groups, label = attributes(name, m[3]) if m[3].strip() else ((), "")
+        stack.append((name, groups, label))
         links += name == "a"
     flush()
     return out
@@ -155,28 +152,83 @@ NAME_GROUPS = {
 }
 _GROUP = {w: g for g, words in NAME_GROUPS.items() for w in words.split()}
 _LONG = sorted((w for w in _GROUP if len(w) >= 5), key=lambda w: (_GROUP[w] == "main", -len(w), w))
+# Parts of names that say how an element is laid out or built, not what it holds.
+HOLDERS = set("list area wrapper wrap container inner outer box block slot links link unit bar item items group panel row col column "
+              "holder region zone module component card left right top large small desktop mobile".split())
+#: A name that begins with one of these speaks of something else ("has-sidebar", "tag-news"); one that ends with a state too ("comment-open").
+ABOUT = set("has no not with without is tag category cat type status format postid hide show supports js".split())
+STATES = set("open closed enabled disabled active inactive on off true false visible loaded ready count free".split())
 
 
-@lru_cache(maxsize=100_000)
-def group(word: str) -> str | None:
-    """What a word of a name usually holds; compounds ("commentlist", "topnav") by a known part."""
+def _single(word: str) -> str | None:
+    """What one word stands for; compounds ("commentlist", "topnav") by a known beginning or end."""
     known = _GROUP.get(word)
     if known is None:
-        part = next((w for w in _LONG if w in word), None)
+        part = next((w for w in _LONG if word.startswith(w) or word.endswith(w)), None)
         known = _GROUP[part] if part else "menu" if word.endswith("nav") else "ad" if word.startswith("ads") else None
     return known
 
 
+@lru_cache(maxsize=100_000)
+def group(name: str) -> str | None:
+    """What a whole class, id or role name stands for: the group of its head, the last word that isn't about layout.
+
+    "main-nav" is a menu, "comment-body" a comment (an unspecific head yields to a word before it), "ad-slot-3" an ad; "has-sidebar",
+    "tag-news" and "comment-open" are about something else and stand for nothing.
+    """
+    parts = [w.lower() for w in _WORD.findall(name)]
+    if not parts or (len(parts) > 1 and (parts[0] in ABOUT or parts[-1] in STATES)):
+        return None
+    while len(parts) > 1 and parts[-1] in HOLDERS:
+        parts.pop()
+    head = _single(parts[-1])
+    if head in (None, "main") and len(parts) > 1 and head == "main":
+        return next((g for g in map(_single, reversed(parts[:-1])) if g not in (None, "main")), head)
+    return head
+
+
+def attributes(element: str, text: str) -> tuple[tuple[str, ...], str]:
+    """Groups of an element's names, and its data-label.  The classes of html and body describe the page."""
+    groups, label = [], ""
+    for key, *values in _ATTRIBUTE.findall(text):
+        value, key = next((v for v in values if v), ""), key.lower()
+        if key in ("class", "id", "role") and element not in ("html", "body"):
+            groups += [g for g in map(group, value.split()) if g]
+        elif key == "hidden" and value.lower() not in ("false", "until-found"):
+            groups.append("hide")
+        elif key == "style" and _UNSEEN.search(value):
+            groups.append("hide")
+        elif key == "data-label":
+            label = value
+    return tuple(dict.fromkeys(groups)), label
+
+
 _ELEMENTS = ["nav", "header", "footer", "aside", "form", "article", "main", "section", "ul", "ol", "li", "table", "p", "h1",
              "h2", "h3", "h4", "blockquote", "pre", "figure", "figcaption", "dl", "button", "label", "fieldset", "dialog",
              "details", "div", "address", "menu", "td"]
 _INDEX = {k: i for i, k in enumerate(
     ["bias"] + [f"in:{e}" for e in _ELEMENTS] + [f"at:{e}" for e in _ELEMENTS] + [f"name:{g}" for g in NAME_GROUPS]
-    + ["last:" + g for g in NAME_GROUPS] + ["bare", "links:none", "links:some", "links:all", "chars:20", "chars:60",
+    + ["last:" + g for g in NAME_GROUPS] + ["within:" + g for g in NAME_GROUPS] + ["bare", "links:none", "links:some", "links:all", "chars:20", "chars:60",
        "chars:200", "chars:more", "stop", "commas", "rights", "first", "last", "article:bare"])}
 FEATURES = len(_INDEX)
 
 
+_OTHER = {"nav", "header", "footer", "aside", "form"}
+
+
+def article_of(b: Block) -> tuple[int, set[str]]:
+    """Place in the path of the innermost article, main or element named so (-1: none), and the groups said of it and below."""
+    core = max((k for k, (e, g) in enumerate(zip(b.path, b.names)) if e in ("article", "main") or g == ("main",)), default=-1)
+    return core, {g for names in b.names[max(core, 0):] for g in names}
+
+
+def plain_article(b: Block) -> bool:
+    """In an article or main element, with no other element from it downwards, and no name anywhere above that says otherwise."""
+    core, _ = article_of(b)
+    return (bool({"article", "main"} & set(b.path)) and not _OTHER & set(b.path[core:])
+            and not {g for names in b.names for g in names} - {"main"})
+
+
 def featurize(blocks: list[Block]) -> list[list[int]]:
     """Indices of each block's active features."""
     out = []
@@ -191,14 +243,14 @@ def featurize(blocks: list[Block]) -> list[list[int]]:
             block = next((e for e in reversed(b.path) if e not in INLINE), "")
             if "at:" + block in _INDEX:
                 top.append(_INDEX["at:" + block])
-            groups = [g for g in map(group, b.names) if g]
-            top += [_INDEX["name:" + g] for g in set(groups)]
+            groups = [g for names in b.names for g in names]
+            _, said = article_of(b)
+            top += [_INDEX["name:" + g] for g in set(groups)] + [_INDEX["within:" + g] for g in said]
             if groups:
                 top.append(_INDEX["last:" + groups[-1]])
             if not inside & {"nav", "header", "footer", "aside", "form", "article", "main"} and not groups:
                 top.append(_INDEX["bare"])
-            if inside & {"article", "main"} and not inside & {"nav", "header", "footer", "aside", "form"} and not set(
-                    groups) - {"main"}:
+            if plain_article(b):
                 top.append(_INDEX["article:bare"])
             known[key] = top
         n = len(b.text)
@@ -332,6 +384,14 @@ TEMPLATES += [
     for e in ("aside", "form", "nav", "footer") for outer in ("article class=story", "div class='main content'", "main")]
 
 
+#: Names, styles and titles on the article that mention other things.
+TEMPLATES += [
+    f"<nav class=main-nav><a>T</a></nav><{outer}><h1>T</h1><p>P</p><p>S</p><div class=comment-list><p>S</p><p>P</p></div></{outer.split()[0]}>"
+    f"<div class=site-sidebar><p>S</p></div><footer><p>S</p></footer>".replace("<h1>", "<div data-label=main><h1>", 1).replace("<div class=c", "</div><div class=c", 1)
+    for outer in ("article style='overflow:hidden'", "article title='The hidden menu'", "article class='post has-sidebar'", "div class='story form-x'",
+                  "article class='post tag-news'", "article class='post comment-open category-ads'", "main id=page", "div class='entry no-comments'")]
+
+
 def fill(template: str, words: list[str], rng: np.random.Generator) -> str:
     def text(m):
         lengths = {"T": (1, 8), "S": (6, 25), "P": (25, 120)}[m[0]]
@@ -350,12 +410,11 @@ def labelled(sample: list[str]) -> list[tuple[list[list[int]], list[int]]]:
         for _ in range(FILLINGS):
             blocks = leaf_blocks(fill(t, words, rng))
             pages.append((featurize(blocks), [int(b.label == "main") for b in blocks]))
-    other = {"nav", "header", "footer", "aside", "form"}
     for page in sample:
         if len(re.findall(r"<article\b", page, re.I)) == 1:
-            blocks = leaf_blocks(page)[:40]
-            pages.append((featurize(blocks), [int("article" in b.path and not other & set(b.path) and not any(
-                (group(w) or "main") != "main" for w in b.names)) for b in blocks]))
+            blocks = leaf_blocks(page)
+            if len(blocks) <= MAX_BLOCKS:
+                pages.append((featurize(blocks), [int("article" in b.path and plain_article(b)) for b in blocks]))
     return pages
 
 

@@ -108,3 +108,46 @@ def test_random_layouts_with_unseen_names(chain):
         page = f"<body>{put[0]}{put[1]}<{wrap}>{body}</{wrap.split()[0]}>{put[2]}{put[3]}</body>"
         right += H.main_text(chain, page) == "\n".join(b.text for b in H.leaf_blocks(body))
     assert right >= 190
+
+
+@pytest.mark.parametrize("outer", [
+    'article style="overflow:hidden"', 'article title="The hidden costs"', 'article class="post has-sidebar"', 'article class="post tag-news"',
+    'article class="post comment-open"', 'div class="story form-x"', "article class='hentry category-advertising status-publish' data-x='search'",
+    "article id=post-77 class='no-comments with-ads'", "main class='layout is-footer-fixed'", 'article aria-label="share this" lang=en',
+    "article data-menu='1' onclick=\"hidden()\"", "div class='entry-content sidebar-off'", "article hidden=until-found"])
+def test_attributes_that_only_mention_things(chain, outer):
+    p = "A sentence of the article, long enough to be one. " * 4
+    page = (f"<html><body class='sidebar-right has-menu'><nav><a>Home</a></nav><{outer}><h1>Title here</h1><p>{p}</p><p>Second one, here.</p>"
+            f"</{outer.split()[0]}><div class='site-sidebar'><p>Popular things, read now.</p></div><footer><p>All rights.</p></footer></body></html>")
+    assert H.main_text(chain, page) == f"Title here\n{p.strip()}\nSecond one, here."
+
+
+def test_names_are_whole_tokens():
+    said = {"sidebar": "side", "main-nav": "menu", "reader-comments": "comment", "commentlist": "comment", "comment-body": "comment",
+            "ad-slot-3": "ad", "rightSidebar": "side", "topnav": "menu", "sponsoredLinks": "ad", "siteHeader": "head", "entry-content": "main",
+            "article-footer": "foot", "has-sidebar": None, "tag-news": None, "comment-open": None, "form-x": None, "lead": None, "": None,
+            "no-comments": None, "discontented": None}
+    assert {k: H.group(k) for k in said} == said
+    assert H.attributes("div", ' hidden') == (("hide",), "") == H.attributes("p", " style='x:1; display: none'")
+    assert H.attributes("div", ' title="hidden sidebar" data-class=menu') == ((), "")
+    assert H.attributes("body", " class='menu sidebar'") == ((), "")
+
+
+def test_drawings_formulas_and_the_rest_of_the_page(chain):
+    page = ("<article><h1>Title here</h1><p>One sentence, before it all.</p>{}<p>Another sentence, after it all.</p></article>"
+            "<footer><p>All rights.</p></footer>")
+    for put, seen in [("<svg width=1/>", []), ("<svg/>", []), ("<math/>", []), ("<svg><path d='M0'/></svg>", []), ("<iframe src=x></iframe>", []),
+                      ("<p>The label <svg><text>axis</text></svg> and <math><mi>x</mi><mo>=</mo><mn>1</mn></math> stay, here.</p>",
+                       ["The label axis and x=1 stay, here."]),
+                      ("<noscript><p>A picture of the river, in spring.</p></noscript>", ["A picture of the river, in spring."]),
+                      ("<script/>if (a<b) {}</script><style>p{}</style><template><p>no</p></template>", [])]:
+        want = ["Title here", "One sentence, before it all.", *seen, "Another sentence, after it all."]
+        assert H.main_text(chain, page.format(put)) == "\n".join(want), put
+
+
+def test_training_pages_are_whole():
+    page = "<article>" + "<p>One sentence, again.</p>" * 100 + "</article><div class=comments><p>Not this.</p></div>"
+    rows, labels = H.labelled([page])[-1]
+    assert len(rows) == 101 and labels == [1] * 100 + [0]
+    long = page.replace("</article>", "<p>One sentence, again.</p>" * 300 + "</article>")
+    assert len(H.labelled([page, long])) == len(H.labelled([page]))
