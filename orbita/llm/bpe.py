@@ -5,11 +5,15 @@ a space followed by a non-space, at a single line feed between non-spaces, and a
 behind a letter.  Texts may therefore be cut there, each distinct unit given to the
 library once, and the ids put back in order: they are those of encoding the whole text in
 one call.  Cuts are only made where the bytes around them leave no doubt.
+
+The tokenizer's added tokens are found in a text first, as the library does, and stand for their own id;
+what lies between them is encoded like a text of its own.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +65,12 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = {t.content: i for i, t in self.lib.get_added_tokens_decoder().items()}
+        # Tokens that swallow white space or need word borders could not be cut out by their text alone.
+        if any(t.single_word or t.lstrip or t.rstrip for t in self.lib.get_added_tokens_decoder().values()):
+            raise ValueError(f"{path} has added tokens that depend on the text around them")
+        self._added = {t: np.array([i], "<u4") for t, i in added.items()}
+        self._parts = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         vocab = self.lib.get_vocab()
         self.size = 1 + max(vocab.values())
         self._opens = np.zeros(self.size, dtype=bool)
@@ -76,6 +85,19 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
+        plain, pieces = [], []  # texts without added tokens, and for each text what its ids are put together from
+        for t in texts:
+            at, row = 0, []
+            for m in self._parts.finditer(t) if self._parts else ():
+                row += [len(plain), self._added[m[0]]]
+                plain.append(t[at:m.start()])
+                at = m.end()
+            pieces.append([*row, len(plain)])
+            plain.append(t[at:] if at else t)
+        ids = self._encode_plain(plain)
+        return [ids[row[0]] if len(row) == 1 else np.concatenate([ids[x] if isinstance(x, int) else x for x in row]) for row in pieces]
+
+    def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
         part, size = [], 0
         for t in texts:

@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 from . import bpe
 from .common import bound_batches, text_or_empty
 
-#: Documents and characters of each that the dictionary is trained on (compression only).
+#: The dictionary, which only affects compression, is trained on so many whole documents of at most so many characters: those of
+#: least hash in the whole table, whatever their file or source.  It serves short documents; long ones compress by themselves.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS = 1000, 8000
 DICTIONARY_BYTES = 64 * 1024
 SEGMENT_BYTES = 1 << 20
@@ -64,10 +65,17 @@ def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> byte
         return b"".join(samples)[-size:]
 
 
+def dictionary_rows(docs: DataFrame, rows: int = SAMPLE_DOCUMENTS, chars: int = SAMPLE_CHARS) -> list[str]:
+    """The training texts: at most ``rows`` of at most ``chars`` characters."""
+    text = text_or_empty()
+    mark = F.xxhash64(F.col("doc_id").cast("string"), text)
+    found = (docs.select(mark.alias("h"), text.alias("t")).where((F.col("t") != "") & (F.char_length("t") <= chars))
+             .orderBy("h", "t").limit(rows).collect())
+    return [r.t for r in found]
+
+
 def _train(docs: DataFrame, encoder: bpe.Encoder, dtype: str) -> bytes:
-    rows = docs.select(F.substring(text_or_empty(), 1, SAMPLE_CHARS).alias("t")).limit(SAMPLE_DOCUMENTS).collect()
-    return train_dictionary([i.astype(dtype).tobytes()
-                             for i in encoder.encode_all([r.t for r in rows])])
+    return train_dictionary([i.astype(dtype).tobytes() for i in encoder.encode_all(dictionary_rows(docs))])
 
 
 _ENCODERS: dict[str, bpe.Encoder] = {}

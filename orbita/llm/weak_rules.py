@@ -1,11 +1,12 @@
 """Quality rules as weak supervision: rules vote or abstain, expectation-maximisation weighs them.
 
 Each rule votes bad (-1), good (1) or abstains (0).  A hidden class (good or bad)
-explains the votes: given the class, rules that vote do so independently, each with its own
-accuracy for either class.  EM estimates those from the counts of all
-vote patterns over all documents; patterns are at most 3^rules, so the driver holds
-a bounded table.  A document is kept if it passes the base checks and its posterior
-probability of good is ``KEEP`` or more.
+explains the votes, each rule with its own accuracy for either class.  EM starts from the majority
+vote and estimates the accuracies from the counts of all vote patterns over all documents; patterns are at
+most 3^rules, so the driver holds a bounded table.  A prior worth ``PRIOR`` of the votes keeps
+accuracies off 0 and 1, so that no single rule is a veto.  Rules that vote alike say little more than one of
+them: a rule's evidence counts ``1 / sum(|correlation with each rule|^SHARPNESS)``.  A document is kept if it
+passes the base checks and its posterior probability of good is ``KEEP`` or more.
 
 Defined cases: a null text is empty and fails the base check; null doc_ids and
 repeated rows are rows like others; an empty table gives no rows; other columns are
@@ -23,6 +24,9 @@ from . import features
 from .common import bound_batches, text_or_empty, written
 
 KEEP = 0.9
+#: Share of a rule's votes that the prior on its accuracy is worth, and the accuracy that it expects.
+PRIOR, EXPECTED = 0.02, 0.8
+SHARPNESS = 4
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -60,34 +64,43 @@ def decode(code: np.ndarray, rules: int = RULES) -> np.ndarray:
     return code[:, None] // 3 ** np.arange(rules)[None, :] % 3 - 1
 
 
-def fit(v: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray]:
-    """Prior of good and accuracies ``p[rule, class]``: how often a rule that votes is right about that class.
+def dependence(v: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Weight of each rule's evidence: 1 for a rule like no other, 1/2 for each of two that always vote alike."""
+    weight = counts / max(1, counts.sum())
+    centred = v - weight @ v
+    spread = np.sqrt(weight @ centred ** 2)
+    like = np.abs((centred * weight[:, None]).T @ centred) / np.maximum(np.outer(spread, spread), 1e-12)
+    np.fill_diagonal(like, 1.0)
+    return 1 / (np.minimum(like, 1) ** SHARPNESS).sum(axis=1)
 
-    Abstentions say nothing about the class.  EM starts from rules that are mostly right, so that the
-    classes keep their names, and from a bad class that one bad vote among good ones already suggests.
-    """
-    rules = v.shape[1]
+
+def fit(v: np.ndarray, counts: np.ndarray, rounds: int = 500) -> tuple[float, np.ndarray, np.ndarray]:
+    """Prior of good, accuracies ``p[rule, class]`` (how often a rule that votes is right about that class), and the
+    weights of the rules' evidence.  Abstentions say nothing about the class."""
     bad, good = (v == -1).sum(axis=1), (v == 1).sum(axis=1)
-    post = np.where(bad > 0, np.clip(0.5 + (good - 3.0 * bad) / (4.0 * rules), 0.05, 0.9), 0.95)
-    weight = counts.astype(float)
+    post = (good + 0.5) / (good + bad + 1.0)
+    weight, evidence = counts.astype(float), dependence(v, counts)
     says_bad, says_good = (v == -1) * weight[:, None], (v == 1) * weight[:, None]
     for _ in range(rounds):
         prior = (weight @ post + 1) / (weight.sum() + 2)
-        p = np.empty((rules, 2))
+        p = np.empty((v.shape[1], 2))
         for k, (klass, right) in enumerate(((1 - post, says_bad), (post, says_good))):
-            p[:, k] = (klass @ right + 1) / (klass @ (says_bad + says_good) + 2)
-        new = posterior(v, prior, p)
-        done = not len(post) or np.abs(new - post).max() < 1e-7
+            cast = klass @ (says_bad + says_good)
+            worth = 1 + PRIOR * cast.mean()
+            p[:, k] = (klass @ right + EXPECTED * worth) / (cast + worth)
+        new = posterior(v, prior, p, evidence)
+        done = not len(post) or np.abs(new - post).max() < 1e-9
         post = new
         if done:
             break
-    return float(prior), p
+    return float(prior), p, evidence
 
 
-def posterior(v: np.ndarray, prior: float, p: np.ndarray) -> np.ndarray:
-    """Probability of good: by Bayes' rule from the votes that were cast."""
-    good = (v == 1) @ np.log(p[:, 1]) + (v == -1) @ np.log1p(-p[:, 1]) + np.log(prior)
-    bad = (v == -1) @ np.log(p[:, 0]) + (v == 1) @ np.log1p(-p[:, 0]) + np.log1p(-prior)
+def posterior(v: np.ndarray, prior: float, p: np.ndarray, evidence: np.ndarray | float = 1.0) -> np.ndarray:
+    """Probability of good: by Bayes' rule from the votes that were cast, each with the weight of its rule's evidence."""
+    yes, no = (v == 1) * evidence, (v == -1) * evidence
+    good = yes @ np.log(p[:, 1]) + no @ np.log1p(-p[:, 1]) + np.log(prior)
+    bad = no @ np.log(p[:, 0]) + yes @ np.log1p(-p[:, 0]) + np.log1p(-prior)
     return 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
 
 
@@ -116,8 +129,7 @@ def judge(docs: DataFrame) -> DataFrame:
     patterns = sorted((r.votes, r["count"]) for r in rows.groupBy("votes").count().collect())  # at most 3^RULES
     code, n = np.array(patterns, dtype=np.int64).reshape(-1, 2).T
     v = decode(code)
-    prior, p = fit(v, n)
-    table = [(int(c), float(q)) for c, q in zip(code, posterior(v, prior, p))]
+    table = [(int(c), float(q)) for c, q in zip(code, posterior(v, *fit(v, n)))]
     known = docs.sparkSession.createDataFrame(table, "votes int, posterior double")
     return rows.join(F.broadcast(known), "votes").select(
         "doc_id", *BASE, base_failed().alias("base_failed"), (~base_failed() & (F.col("posterior") >= KEEP)).alias("kept"),

@@ -42,15 +42,43 @@ def test_em_recovers_rule_accuracies():
         v.append(np.where(rng.random(len(truth)) < 0.3, 0, vote))
     v = np.column_stack(v)
     patterns, back, counts = np.unique(v, axis=0, return_inverse=True, return_counts=True)
-    prior, p = weak_rules.fit(patterns, counts)
+    prior, p, evidence = weak_rules.fit(patterns, counts)
+    assert ((evidence > 0.7) & (evidence <= 1)).all()  # independent rules
     assert abs(prior - 0.8) < 0.05
     for r, a in enumerate(accuracy):
         assert abs(p[r, 1] - a) < 0.04 and abs(p[r, 0] - a) < 0.06
-    post = weak_rules.posterior(patterns, prior, p)[back.ravel()]
+    post = weak_rules.posterior(patterns, prior, p, evidence)[back.ravel()]
     assert ((post >= 0.5) == truth).mean() > 0.95
     assert (weak_rules.decode(weak_rules.codes(patterns), 5) == patterns).all()
 
 
+def test_rules_that_vote_alike_count_as_one():
+    rng = np.random.default_rng(6)
+    truth = rng.random(5000) < 0.7
+    votes = [np.where((rng.random(5000) < 0.85) == truth, 1, -1) for _ in range(3)]
+    v = np.column_stack([*votes, votes[0], votes[0]])
+    patterns, counts = np.unique(v, axis=0, return_counts=True)
+    evidence = weak_rules.dependence(patterns, counts)
+    assert np.allclose(evidence[[0, 3, 4]], 1 / 3, atol=0.05) and (evidence[1:3] > 0.8).all()
+
+
+def test_no_rule_is_a_veto(spark):
+    """Accuracies stay off 0 and 1, single bad votes can be outvoted, and the posterior beats passing every rule."""
+    docs_ = common.documents(spark, "/root/testdata/sf0.1")
+    rows = common.written(weak_rules.counted(docs_), "votes-test")
+    patterns = rows.groupBy("votes").count().toPandas().sort_values("votes")
+    v = weak_rules.decode(patterns["votes"].to_numpy(dtype=np.int64))
+    prior, p, evidence = weak_rules.fit(v, patterns["count"].to_numpy())
+    assert (p > 0.001).all() and (p < 0.999).all()
+    post = dict(zip(patterns["votes"], weak_rules.posterior(v, prior, p, evidence)))
+    table = rows.join(common.table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").where(~weak_rules.base_failed()).toPandas()
+    bad = (weak_rules.decode(table["votes"].to_numpy(dtype=np.int64)) == -1).sum(axis=1)
+    kept = table["votes"].map(post).to_numpy() >= weak_rules.KEEP
+    assert kept[bad == 1].any() and kept[bad == 0].all()
+    agree = lambda k: (k == (table["quality"].to_numpy() == 1)).mean()
+    assert agree(kept) > agree(bad == 0) > 0.9  # labels are only read here
+
+
 def test_rules_query(spark):
     rows = queries.QUERIES["op9_quality_rules"](spark, SF).toPandas().set_index("doc_id")
     table = common.documents(spark, SF).toPandas().set_index("doc_id")

@@ -14,8 +14,7 @@ from orbita.session import scratch_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ENCODER = bpe.Encoder(PATH)
-LIBRARY = Tokenizer.from_file(PATH)
-LIBRARY.encode_special_tokens = True
+LIBRARY = Tokenizer.from_file(PATH)  # as it comes
 PIECES = ["don't", "'s", "a.", "é,", "12", "!!", "<|endoftext|>", "日本", "x'", "...", "n't.", "I'll!", "_a", "ﬁ", "a1.", "́b",
           "\U0001F642", " ", "  ", "\n", "\n\n", "\t", " ", "　", "\r\n", "\x1c", "×.", "÷,", "’,", "Å!", " "]
 
@@ -31,6 +30,24 @@ def test_units_give_the_ids_of_the_whole_text(parts, tail):
     assert ENCODER.encode_all([text])[0].tolist() == ids_of(text)[:-1]
 
 
+def test_added_tokens_are_the_libraries_own(spark):
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>", "<|endoftext", " <|endoftext|>\n\n<|endoftext|>'s", ""]
+    assert [x.tolist() for x in ENCODER.encode_all(texts)] == [ids_of(t)[:-1] for t in texts]
+    assert ids_of("a<|endoftext|>")[1] == 50256
+    path = scratch_path(spark, "store-added")
+    token_store.write_store(docs(spark, list(enumerate(texts))), path, PATH, 2)
+    got = token_store.read_store(spark, path, with_ids=True).orderBy("doc_id").collect()
+    assert [list(r.ids) for r in got] == [ids_of(t) for t in texts]
+
+
+def test_dictionary_rows_come_from_all_of_the_table(spark):
+    rows = [(i, f"text of document {i} " * 20) for i in range(400)] + [(1000 + i, "one hot text " * 30) for i in range(800)]
+    df = docs(spark, rows)
+    a, b = (sorted(token_store.dictionary_rows(d, 50)) for d in (df, df.repartition(7)))
+    assert a == b and len(a) == 50 and 5 < sum("document" in t for t in a) < 40
+    assert token_store.dictionary_rows(docs(spark, [(1, "x" * 9000), (2, None), (3, "short")]), 50) == ["short"]
+
+
 def test_cache_starts_afresh_without_changing_ids():
     small = bpe.Encoder(PATH, cache_entries=3)
     rng = random.Random(3)
