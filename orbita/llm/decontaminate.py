@@ -1,23 +1,29 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index lookup, exact verification.
 
 Texts and items are lower-cased; words are runs of letters, digits and non-ASCII
-characters.  An item belongs to the size class of the largest window that every
-occurrence of similarity ``THRESHOLD`` must contain whole and unchanged at one of its stride
-positions; all its sub-windows of that size are fingerprinted (64-bit SimHash of
-five-word shingles).  A text's windows of each class are fingerprinted at the
-class's stride and looked up in four 16-bit blocks that tolerate one bit each: every
-fingerprint within ``RADIUS`` = 7 bits shares such a block and is found.  Each candidate is
-then verified: weighted Jaccard similarity (shingles with multiplicity) of the item and
-the item-sized window at the place it implies.
+characters.  Items belong to size classes by their length (each about ``STEP_UP`` larger); an item's first and last
+window of its class's size, which cover it but for a seventh at most, are fingerprinted (64-bit SimHash of five-word
+shingles).  A text's windows of each class are fingerprinted at a stride of a tenth of the size, the text's last
+window too, and looked up in four 16-bit blocks that tolerate three bits each: every fingerprint within
+``RADIUS`` = 15 bits shares such a block and is found.  Each candidate is then verified: weighted Jaccard similarity
+(shingles with multiplicity) of the item and the item-sized window at the place it implies, or near it.
+
+A copy of similarity ``THRESHOLD`` shares nine tenths of its shingles, which moves about 9 of 64 bits; with the stride's shift
+about 12.  The radius finds 98 % or more of copies edited down to the threshold (words changed, put in, left out, or
+cut off at the ends; measured in tests/llm/test_decontaminate.py), and all whole copies.
+
+The benchmark is matched in blocks of at most ``BLOCK_BYTES`` of text, each broadcast by itself and freed when its result is
+written (see :func:`find_leaks`).
 
 Defined cases: null texts are empty; items and texts without words match nothing;
 items under five words have one shingle, the whole item; items of equal text are matched
-each; null ids are carried along; repeated rows are each reported; empty tables give no
+each, repeated items once; null ids are carried along; repeated rows are each reported; empty tables give no
 matches; other columns are kept by ``drop_contaminated``, also where names clash with ours.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections import Counter
 
@@ -26,47 +32,39 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, fresh
+from .common import bound_batches, fresh, written
 from .words import NOT_ALNUM, Words, portions, shingle_hashes
 
-SHINGLE, THRESHOLD, RADIUS = 5, 0.8, 7
-#: Items of one index; a larger benchmark is matched block by block.
-BLOCK_ITEMS = 5000
+SHINGLE, THRESHOLD, RADIUS = 5, 0.8, 15
+#: Bits that each of the four blocks tolerates: 4 x (3 + 1) - 1 = RADIUS.
+TOLERATED = 3
+#: Ratio of neighbouring size classes, and windows per size.
+STEP_UP, PER_SIZE = 1.15, 10
+#: Bytes of benchmark text in one index; a larger benchmark is matched block by block.
+BLOCK_BYTES = 1 << 20
 #: Words fingerprinted in one go: bounds memory for very long texts.
 STEP = 1 << 16
-#: Places around the implied one that are verified too (words put in or left out).
-SLACK = 2
 
 
 def window_sizes(limit: int) -> list[int]:
-    """Size classes: every size up to 8, then each a fifth larger."""
-    out = list(range(1, 9))
+    """Size classes: every size up to 12 (where only whole copies are similar enough), then steps of ``STEP_UP``."""
+    out = list(range(1, 13))
     while out[-1] < limit:
-        out.append(out[-1] + max(2, out[-1] // 5))
+        out.append(math.ceil(out[-1] * STEP_UP))
     return out
 
 
 def stride(size: int) -> int:
-    return max(1, size // 5)
-
+    return max(1, size // PER_SIZE)
 
-def untouched(words: int) -> int:
-    """Words in a row that an occurrence of similarity ``THRESHOLD`` leaves unchanged at least.
 
-    With n shingles, up to ``n (1 - THRESHOLD)`` may be missing at the edges (a text that
-    ends early); a word changed or left out inside costs five and puts in four others at least.
-    """
-    n, lost = max(1, words - SHINGLE + 1), 1 - THRESHOLD + 1e-9
-    inner = int(n * lost / (SHINGLE + (SHINGLE - 1) * THRESHOLD))
-    return max(1, min(words - int(n * lost), (words - inner) // (inner + 1)))
+def size_class(words: int) -> int:
+    return max(w for w in window_sizes(words) if w <= words)
 
 
-def size_class(words: int) -> int:
-    run = untouched(words)
-    if words < SHINGLE:
-        return words
-    fit = [w for w in window_sizes(run) if w + stride(w) - 1 <= run]
-    return max(fit)
+def slack(words: int) -> int:
+    """Places on either side of the implied one that are verified: words put in or left out before it, and the stride."""
+    return 2 + words // 8
 
 
 def fingerprints(hashes: np.ndarray, size: int, at: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
@@ -88,31 +86,34 @@ def bit_sums(shingles: np.ndarray, n: int) -> np.ndarray:
     return sums
 
 
+_FLIPS = np.array([v for v in range(1 << 16) if v.bit_count() <= TOLERATED], dtype=np.uint64)
+
+
 class MultiIndex:
-    """Fingerprints by four 16-bit blocks, each entered under its own value and those one bit away."""
+    """Fingerprints by four 16-bit blocks, each entered under its own value and all those within ``TOLERATED`` bits."""
 
     def __init__(self, fps: np.ndarray):
         self.fps = fps
-        flips = np.append(np.uint64(0), np.uint64(1) << np.arange(16, dtype=np.uint64))
         self.begin, self.rows = [], []
         for b in range(4):
             value = (fps >> np.uint64(16 * b)) & np.uint64(0xFFFF)
-            keys = (value[:, None] ^ flips[None, :]).ravel().astype(np.int64)
+            keys = (value[:, None] ^ _FLIPS[None, :]).ravel().astype(np.int64)
             order = np.argsort(keys, kind="stable")
-            self.rows.append((order // len(flips)).astype(np.int32))
+            self.rows.append((order // len(_FLIPS)).astype(np.int32))
             self.begin.append(np.concatenate([[0], np.cumsum(np.bincount(keys, minlength=1 << 16))]).astype(np.int32))
         self.some = [np.diff(b) > 0 for b in self.begin]
 
     def within(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """All (query, row) pairs within ``radius`` <= 7 bits."""
+        """All (query, row) pairs within ``radius`` <= ``RADIUS`` bits."""
         found = []
+        keys = queries.view(np.uint16).reshape(-1, 4)  # little-endian: block b in column b
         for b in range(4):
-            key = ((queries >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64)
-            hit = np.flatnonzero(self.some[b][key])
+            hit = np.flatnonzero(self.some[b][keys[:, b]])
             if not len(hit):
                 continue
-            begin = self.begin[b][key[hit]]
-            count = self.begin[b][key[hit] + 1] - begin
+            key = keys[hit, b].astype(np.int64)
+            begin = self.begin[b][key]
+            count = self.begin[b][key + 1] - begin
             q = np.repeat(hit, count)
             row = self.rows[b][np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())]
             near = np.bitwise_count(queries[q] ^ self.fps[row]) <= radius
@@ -147,7 +148,7 @@ class Index:
         for item, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
             if b > a:
                 size = size_class(int(b - a))
-                shifts = np.arange(b - a - size + 1)
+                shifts = np.unique([0, b - a - size])
                 by_size.setdefault(size, []).append((item, shifts, fingerprints(words.hashes[a:b], size, shifts)))
         self.classes = []
         for size, rows in sorted(by_size.items()):
@@ -171,6 +172,9 @@ class Index:
                     sums[k] = bit_sums(shingle_hashes(hashes, k), largest)
                 at = np.arange(0, min(STEP, len(hashes) - size + 1), stride(size))
                 at = at[owner[a + at] == owner[a + at + size - 1]]
+                if stride(size) > 1:  # and the last window of every text
+                    last = words.first[1:] - size - a
+                    at = np.union1d(at, last[(words.counts >= size) & (last >= 0) & (last < STEP)])
                 if not len(at):
                     continue
                 query, row = index.within(fingerprints(hashes, size, at, sums[k]), RADIUS)
@@ -188,17 +192,27 @@ class Index:
         raw = words.raw.tobytes()
         places: dict[tuple[int, int], set[int]] = {}
         for text, item, place in self.candidates(words):
-            places.setdefault((text, item), set()).update(range(place - SLACK, place + SLACK + 1))
+            near = slack(len(self.words[item]))
+            places.setdefault((text, item), set()).update(range(place - near, place + near + 1))
         out: list[list[tuple]] = [[] for _ in words.counts]
         for (text, item), starts in sorted(places.items()):
             first, n, size = int(words.first[text]), int(words.counts[text]), len(self.words[item])
+            places_ = sorted({min(max(0, s), max(0, n - size)) for s in starts})
+            near = range(first + places_[0], first + min(n, places_[-1] + size))
+            region = [raw[words.start[k]:words.start[k] + words.size[k]] for k in near]
+            have = self.shingles[item]
+            about = shingles(region) if len(region) >= SHINGLE or size < SHINGLE else Counter()
+            # A similarity of THRESHOLD needs this many shared shingles, wherever the window lies.
+            if size >= SHINGLE and sum(min(c, about[s]) for s, c in have.items() if s in about) * (1 + THRESHOLD) < (
+                    2 * THRESHOLD * have.total() * (1 - 1e-9)) and n >= size:
+                continue
             best = (0.0, 0)
-            for p in sorted({min(max(0, s), max(0, n - size)) for s in starts}):
-                window = [raw[words.start[k]:words.start[k] + words.size[k]]
-                          for k in range(first + p, first + min(n, p + size))]
-                s = similarity(self.shingles[item], shingles(window))
+            for p in places_:
+                s = similarity(have, shingles(region[p - places_[0]:p - places_[0] + size]))
                 if s > best[0]:
                     best = (s, p)
+                if s == 1.0:
+                    break
             if best[0] >= THRESHOLD:
                 out[text].append((self.ids[item], best[0], best[1]))
         return out
@@ -207,13 +221,15 @@ class Index:
 _INDEXES: dict[str, Index] = {}
 
 
-def _blocks(benchmark: DataFrame, block_items: int) -> list:
-    """Broadcast item lists of at most about ``block_items`` each."""
+def _blocks(benchmark: DataFrame, block_bytes: int):
+    """Broadcasts of the different items, each of about ``block_bytes`` of text at most, one at a time."""
     spark = benchmark.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    blocks = -(-items.count() // block_items)
-    return [spark.sparkContext.broadcast([(r.id, r.text) for r in items.where(
-        F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect()]) for b in range(blocks)]
+    items = (benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+             .where(F.col("text").isNotNull()).dropDuplicates())
+    blocks = -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes)
+    for b in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect()
+        yield b == blocks - 1, spark.sparkContext.broadcast([(r.id, r.text) for r in rows])
 
 
 def _matches(block, text: Column) -> Column:
@@ -230,23 +246,27 @@ def _matches(block, text: Column) -> Column:
     return matched(text.cast("string"))
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """``doc_id, item_id, similarity, first_word`` of every item found in a document."""
+def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``doc_id, item_id, similarity, first_word`` of every item found in a document; written block by block."""
     spark = docs.sparkSession
     bound_batches(spark)
     out = spark.createDataFrame([], "doc_id long, item_id long, similarity double, first_word long")
-    for block in _blocks(benchmark, block_items):
+    for _, block in _blocks(benchmark, block_bytes):
         found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _matches(block, F.col("text")).alias("found"))
-        out = out.unionByName(found.select("doc_id", F.inline("found")))
+        out = out.unionByName(written(found.select("doc_id", F.inline("found")), "leaks"))
+        block.destroy()
     return out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """``docs`` without those that hold an item."""
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without those that hold an item; what a block leaves is written before the next one is matched."""
     bound_batches(docs.sparkSession)
-    for block in _blocks(benchmark, block_items):
+    for last, block in _blocks(benchmark, block_bytes):
         name = fresh(docs, "_found")
         docs = docs.withColumn(name, F.size(_matches(block, F.col("text")))).where(F.col(name) == 0).drop(name)
+        if not last:
+            docs = written(docs, "clean-of-block")
+            block.destroy()
     return docs
 
 
