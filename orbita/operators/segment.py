@@ -213,20 +213,68 @@ def _lloyd_pass(points: DataFrame, features: list[str], centres: dict) -> tuple[
     return out_c, out_cost, out_n
 
 
+#: A table of at most so many rows goes whole to every task (15 features: 24 MB), which then runs whole restarts.
+LOCAL_ROWS = 200_000
+
+
+def _restart(X: np.ndarray, ids: np.ndarray, k: int, seed: int, shift_tol: float, max_iter: int) -> tuple[np.ndarray, float]:
+    """One restart on rows that are all here: the same draws and steps as the distributed passes."""
+    C = np.zeros((0, X.shape[1]))
+    for step in range(k):
+        w = _sq_dist(X, C).min(1) if step else np.ones(len(X))
+        with np.errstate(divide="ignore"):
+            key = -np.log(_uniform(ids, seed, step)) / w
+        C = np.vstack([C, X[np.lexsort((ids, key))[0]]])
+    for _ in range(max_iter):
+        G = _sq_dist(X, C).argmin(1)
+        n = np.bincount(G, minlength=k)
+        sums = np.stack([np.bincount(G, weights=X[:, f], minlength=k) for f in range(X.shape[1])], axis=1)
+        new = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], C)  # empty clusters keep their centre
+        shift = float(((new - C) ** 2).sum())
+        C = new
+        if shift <= shift_tol:
+            break
+    return C, float(_sq_dist(X, C).min(1).sum())
+
+
+def _restarts_by_task(pts: DataFrame, features: list[str], configs: list, id_col: str, max_iter: int, shift_tol: float) -> dict:
+    """Restarts dealt to tasks, the table (bounded by ``LOCAL_ROWS``) broadcast: one job instead of one per pass."""
+    spark = pts.sparkSession
+    rows = pts.toPandas()
+    table = spark.sparkContext.broadcast((rows[features].to_numpy(dtype=np.float64), rows[id_col].to_numpy()))
+
+    def run(batches):
+        X, ids = table.value
+        for batch in batches:
+            found = [(c, *_restart(X, ids, k, s, shift_tol, max_iter)) for c, k, s in zip(batch["cfg"], batch["k"], batch["seed"])]
+            yield pd.DataFrame({"cfg": [c for c, _, _ in found], "inertia": [i for _, _, i in found],
+                                "centres": [C.ravel().tolist() for _, C, _ in found]})
+
+    # The largest k take longest: dealt out first, one restart a task.
+    order = sorted(((c, k, s) for c, (k, s) in enumerate(configs)), key=lambda r: -r[1])
+    todo = spark.createDataFrame(spark.sparkContext.parallelize(order, len(order)), "cfg int, k int, seed long")
+    out = todo.mapInPandas(run, "cfg int, inertia double, centres array<double>").collect()  # one row per restart
+    table.destroy()
+    return {r["cfg"]: (np.array(r["centres"]).reshape(-1, len(features)), r["inertia"]) for r in out}
+
+
 def kmeans_restarts(points: DataFrame, features: list[str], configs: list, id_col: str = ID,
-                    max_iter: int = MAX_ITER, tol: float = CENTRE_SHIFT_TOL) -> dict:
+                    max_iter: int = MAX_ITER, tol: float = CENTRE_SHIFT_TOL, local_rows: int = LOCAL_ROWS) -> dict:
     """k-means++ seeding + Lloyd iterations for many (k, seed) restarts at once.
 
     Every pass is one Spark job over the whole table for *all* restarts still
     running (per-partition partial sums, reduced by a groupBy), instead of one
     job per restart per iteration; only centres (bounded by the parameters)
-    reach the driver.  Returns cfg -> (centres, inertia).
+    reach the driver.  A table of at most ``local_rows`` rows is broadcast, and each task runs
+    whole restarts on it: the same steps in one job.  Returns cfg -> (centres, inertia).
     """
     ship_package(points.sparkSession)
     pts = points.select(id_col, *features)
     d = len(features)
-    var = pts.agg(*[F.var_pop(f).alias(f) for f in features]).first()
+    var = pts.agg(F.count(F.lit(1)).alias("_n"), *[F.var_pop(f).alias(f) for f in features]).first()
     shift_tol = tol * float(np.mean([var[f] or 0.0 for f in features]))
+    if var["_n"] <= local_rows:
+        return _restarts_by_task(pts, features, configs, id_col, max_iter, shift_tol)
     ks = dict(enumerate(k for k, _ in configs))
     seeds = dict(enumerate(s for _, s in configs))
     chosen = {c: np.zeros((0, d)) for c in ks}

@@ -1,3 +1,5 @@
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +108,14 @@ def test_silhouette_of_given_labels_matches_pairs(spark):
         assert abs(got[seg].silhouette_sq - np.mean(values)) < 1e-9 and got[seg].usuarios == len(values)
     one = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "s string, x double")
     assert [r.silhouette_sq for r in SG.silhouette_given(one, "s", ["x"]).collect()] == [0.0]
+
+
+def test_restarts_by_task_equal_the_distributed_passes(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 3)) + rng.integers(0, 4, 400)[:, None] * 3.0
+    df = spark.createDataFrame(pd.DataFrame(x, columns=list("abc")).assign(id_cliente=rng.permutation(400))).repartition(3)
+    configs = [(k, 29 + i) for k in (2, 3, 4, 5) for i in range(2)]
+    one = SG.kmeans_restarts(df, list("abc"), configs)
+    many = SG.kmeans_restarts(df, list("abc"), configs, local_rows=0)
+    for c in many:
+        assert np.allclose(one[c][0], many[c][0]) and abs(one[c][1] / many[c][1] - 1) < 1e-9
