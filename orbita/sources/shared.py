@@ -70,3 +70,9 @@ def first_line(spark: SparkSession, path: str) -> str:
         return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
     finally:
         stream.close()
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    at, fs = _path(spark, path)
+    return int(fs.getContentSummary(at).getLength())
