@@ -68,10 +68,12 @@ def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> byte
 def dictionary_rows(docs: DataFrame, rows: int = SAMPLE_DOCUMENTS, chars: int = SAMPLE_CHARS) -> list[str]:
     """The training texts: at most ``rows`` of at most ``chars`` characters."""
     text = text_or_empty()
-    mark = F.xxhash64(F.col("doc_id").cast("string"), text)
-    found = (docs.select(mark.alias("h"), text.alias("t")).where((F.col("t") != "") & (F.char_length("t") <= chars))
-             .orderBy("h", "t").limit(rows).collect())
-    return [r.t for r in found]
+    marked = (docs.select(F.xxhash64(F.col("doc_id").cast("string"), text).alias("h"), text.alias("t"))
+              .where((F.col("t") != "") & (F.char_length("t") <= chars)))
+    # Only hashes compete for the least ones; texts are read once these are known.
+    least = [r.h for r in marked.select("h").orderBy("h").limit(rows).collect()]
+    found = marked.where(F.col("h") <= least[-1]).limit(rows).collect() if least else []
+    return [t for _, t in sorted((r.h, r.t) for r in found)]
 
 
 def _train(docs: DataFrame, encoder: bpe.Encoder, dtype: str) -> bytes:
