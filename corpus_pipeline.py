@@ -1,7 +1,7 @@
 """Training-text pipeline over ``documents``: each stage works on what its predecessor kept.
 
 1. quality        -- documents that the Bradley-Terry classifier rejects go;
-2. line_dedup     -- cross-site boilerplate lines go (each stays once), and documents that were little else;
+2. line_dedup     -- cross-site boilerplate lines go (each stays once), and documents that this leaves blank;
 3. near_dedup     -- of each SimHash group the document of the smallest doc_id stays;
 4. decontaminate  -- documents that hold a benchmark item go;
 5. packing        -- the rest is packed into windows of token ids.
