@@ -9,6 +9,7 @@ from ..contracts import (CLASSIFICATION_FEATURES, CLASSIFICATION_TARGET, ID, KME
 from ..functions.numeric import round_half_even
 from ..operators import certificates as CE
 from ..operators import elbow as EL
+from ..operators import screening as SCR
 from ..operators import segment as SG
 from ..operators import supervised as SV
 from ..sources import tpch
@@ -167,3 +168,32 @@ def q_elbow_k(spark, sf):
     points = counts.select(F.col("c_nationkey").alias("curva"), F.explode(F.array(*[
         F.struct(F.lit(k).cast("long").alias("k"), F.col(str(k)).alias("restantes")) for k in range(1, 31)])).alias("p")).select("curva", "p.*")
     return EL.elbow_k(points, "curva", "k", "restantes")
+
+
+def _screening_ctes() -> list[str]:
+    """Per feature and fold, DuckDB's own line on the other folds and its R² on the fold, row by row."""
+    rows = " UNION ALL ".join(f"SELECT '{f}' AS modelo, fold, CAST({f} AS DOUBLE) AS x, CAST({REGRESSION_TARGET} AS DOUBLE) AS y FROM fr" for f in REGRESSION_FEATURES)
+    return [f"fr AS (SELECT *, CAST({O.hash_sql('id_cliente', '29:fold', 13)} % 5 AS INTEGER) AS fold FROM labelled WHERE is_test = 0)",
+            f"lr AS MATERIALIZED ({rows})",
+            "ln AS (SELECT a.modelo, k.fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM lr a, (SELECT DISTINCT fold FROM lr) k "
+            "WHERE a.fold <> k.fold GROUP BY a.modelo, k.fold)",
+            "sc AS (SELECT r.modelo, r.fold, 1 - sum((y - a - b * x) * (y - a - b * x)) / (var_pop(y) * count(*)) AS score "
+            "FROM lr r JOIN ln ON r.modelo = ln.modelo AND r.fold = ln.fold GROUP BY r.modelo, r.fold)",
+            "cv AS (SELECT modelo, avg(score) AS cv_mean, stddev_pop(score) AS cv_std FROM sc GROUP BY modelo)"]
+
+
+def _screened(spark, sf):
+    train = SV.folds(labelled(spark, sf).filter(F.col("is_test") == 0))
+    return SCR.cv_single_features(train, REGRESSION_FEATURES, REGRESSION_TARGET)
+
+
+@register("cv_single_feature", O.with_ctes(_screening_ctes(), f"SELECT modelo, {O.rnd('cv_mean', 6)} AS cv_mean, {O.rnd('cv_std', 6)} AS cv_std FROM cv"))
+def q_cv_single_feature(spark, sf):
+    """Cross-validated R² of the line on each regression feature alone."""
+    return _screened(spark, sf).select("modelo", *[round_half_even(c, 6).alias(c) for c in ("cv_mean", "cv_std")])
+
+
+@register("best_single_feature", O.with_ctes(_screening_ctes(), f"SELECT max_by(modelo, cv_mean) AS modelo, {O.rnd('max(cv_mean)', 6)} AS cv_mean FROM cv"))
+def q_best_single_feature(spark, sf):
+    """The winner by mean CV score among the single features: the rule that picks a model from any CV table."""
+    return SV.best_model(_screened(spark, sf)).withColumn("cv_mean", round_half_even("cv_mean", 6))

@@ -9,7 +9,7 @@ from ..contracts import BEHAVIOUR_COLUMNS, CLASSIFICATION_FEATURES, ID, INTEGER_
 from ..operators import crosscheck as CC
 from ..operators import scoring as SC
 from ..operators import segment as SG
-from ..sources import csv_scan, files, tpch
+from ..sources import csv_scan, files, shared, tpch
 from ..sources import publication as PB
 from . import oracle as O
 from .registry import analytic, base, clean_base, kpis, register
@@ -71,6 +71,16 @@ def q_published_tables(spark, sf):
     return out
 
 
+@register("stage_bytes")
+def q_stage_bytes(spark, sf):
+    """Rows and bytes of every published table (the storage that takes the place of the report's memory figures)."""
+    folder = files.scratch(spark, "stage-bytes")
+    PB.publish(spark, folder, _tables(spark, sf), {})
+    m = PB.latest(spark, folder)
+    rows = [(name, PB.table(spark, m, name).count(), shared.size(spark, path)) for name, path in sorted(m["tables"].items())]
+    return spark.createDataFrame(rows, "tabla string, filas long, bytes long")
+
+
 @register("published_views", O.with_chain("""
 SELECT a.nivel_engagement, a.valor_cliente, count(*) AS usuarios, max(k.usuarios) AS usuarios_kpi, sum(c.edad) AS edad_total,
        CAST(2 AS BIGINT) AS version

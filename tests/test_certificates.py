@@ -8,6 +8,7 @@ from orbita.errors import ModelInputRefused
 from orbita.functions.kneedle import elbow_convex_decreasing
 from orbita.operators import certificates as CE
 from orbita.operators import elbow as EL
+from orbita.operators import screening as SCR
 from orbita.operators import segment as SG
 
 
@@ -104,3 +105,17 @@ def test_elbows_by_windows_equal_the_loop(spark, ys):
 
 def test_a_plain_elbow(spark):
     assert [r["elbow"] for r in EL.elbow_k(curves(spark, [[100, 40, 12, 10, 9, 8, 7]]), "c", "k", "y").collect()] == [3]
+
+
+def test_screening_equals_plain_folds(spark):
+    data = frame(120).assign(fold=lambda t: t[ID] * 7 % 4, k=1.0)
+    got = {r["modelo"]: r for r in SCR.cv_single_features(spark.createDataFrame(data).repartition(5), ["a", "b", "c", "k"], "y").collect()}
+    for f in "abc":
+        scores = []
+        for k in range(4):
+            train, test = data[data["fold"] != k], data[data["fold"] == k]
+            b, a = np.polyfit(train[f] - train[f].mean(), train["y"], 1)
+            left = test["y"] - a - b * (test[f] - train[f].mean())
+            scores.append(1 - (left ** 2).sum() / ((test["y"] - test["y"].mean()) ** 2).sum())
+        assert abs(got[f]["cv_mean"] - np.mean(scores)) < 1e-8 and abs(got[f]["cv_std"] - np.std(scores)) < 1e-8
+    assert got["k"]["cv_mean"] is None  # a constant has no line
