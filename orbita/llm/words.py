@@ -32,7 +32,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 #: Characters of texts that are cut into words at once (about 40 bytes of arrays for each byte).
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 20
 
 
 def portions(texts: list[str]) -> list[tuple[int, int]]:
