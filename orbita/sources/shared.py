@@ -28,7 +28,15 @@ def create(spark: SparkSession, path: str, text: str) -> bool:
     """Write a new file; False if there is one already (exactly one of several writers succeeds)."""
     at, fs = _path(spark, path)
     try:
-        out = fs.create(at, False)
+        if fs.getUri().getScheme() == "file":
+            # Here Hadoop looks first and creates then; the system call does both at once.
+            fs.mkdirs(at.getParent())
+            nio, attributes = spark._jvm.java.nio.file, spark._jvm.java.nio.file.attribute.FileAttribute
+            nio.Files.createFile(nio.Paths.get(at.toUri().getPath(), spark.sparkContext._gateway.new_array(spark._jvm.String, 0)),
+                                 spark.sparkContext._gateway.new_array(attributes, 0))
+            out = fs.create(at, True)
+        else:
+            out = fs.create(at, False)
     except Exception as e:
         if fs.exists(at):
             return False

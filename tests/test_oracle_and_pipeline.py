@@ -1,3 +1,4 @@
+import json
 import os
 import tempfile
 
@@ -7,11 +8,12 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF
 from orbita.plans import pipeline as P
+from orbita.sources import publication as PB
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 FAST = ["kpis_grid", "validate_sources", "validate_ids", "id_compat", "integrate", "impute_median", "cleaning_report",
         "analytic", "tier_cuts", "kpi_matrix", "folds", "roc_auc", "user_vs_segment", "score_input_split",
-        "published_tables", "manifest", "column_medians"]
+        "published_tables", "published_views", "cross_check", "csv_rejects", "elbow_k", "manifest", "column_medians"]
 
 
 @pytest.fixture(scope="module")
@@ -48,6 +50,8 @@ def test_every_oracle_key_is_a_query():
 def test_pipeline_gates_and_deferred_publication(spark):
     out = tempfile.mkdtemp(prefix="orbita-pub-")
     res = P.run(spark, SF, out, train_models=False)
-    m = P.read_manifest(spark, res.published_to)
-    assert m["status"] == "completed" and set(m["rows"].values()) == {150} or m["rows"]["kpis"] < 150
-    assert all(os.path.exists(p) for p in m["outputs"].values())
+    m = PB.latest(spark, out)
+    assert m == json.loads(json.dumps(res.manifest)) and m["version"] == 1
+    assert m["status"] == "completed" and {m["rows"][n] for n in ("base", "clean", "analytic")} == {150} and m["rows"]["kpis"] < 150
+    assert all(os.path.exists(p) for p in m["tables"].values())
+    assert PB.table(spark, m, "analytic").count() == 150
