@@ -5,7 +5,8 @@ characters.  Items belong to size classes by their length (each about ``STEP_UP`
 window of its class's size, which cover it but for a seventh at most, are fingerprinted (64-bit SimHash of five-word
 shingles).  A text's windows of each class are fingerprinted at a stride of a tenth of the size, the text's last
 window too, and looked up in four 16-bit blocks that tolerate three bits each: every fingerprint within
-``RADIUS`` = 15 bits shares such a block and is found.  Each candidate is then verified: weighted Jaccard similarity
+``RADIUS`` = 15 bits shares such a block and is found.  Windows that share under ``LEAST_SHARED`` of their
+shingles with the item are near by chance and go; each candidate left is then verified: weighted Jaccard similarity
 (shingles with multiplicity) of the item and the item-sized window at the place it implies, or near it.
 
 A copy of similarity ``THRESHOLD`` shares nine tenths of its shingles, which moves about 9 of 64 bits; with the stride's shift
@@ -33,13 +34,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bound_batches, fresh, written
-from .words import NOT_ALNUM, Words, portions, shingle_hashes
+from .words import NOT_ALNUM, Words, mix, portions, shingle_hashes
 
 SHINGLE, THRESHOLD, RADIUS = 5, 0.8, 15
 #: Bits that each of the four blocks tolerates: 4 x (3 + 1) - 1 = RADIUS.
 TOLERATED = 3
 #: Ratio of neighbouring size classes, and windows per size.
 STEP_UP, PER_SIZE = 1.15, 10
+#: Shingles of a found window that must be the item's; at similarity ``THRESHOLD`` about three quarters are.
+LEAST_SHARED = 0.4
 #: Bytes of benchmark text in one index; a larger benchmark is matched block by block.
 BLOCK_BYTES = 1 << 20
 #: Words fingerprinted in one go: bounds memory for very long texts.
@@ -73,7 +76,11 @@ def fingerprints(hashes: np.ndarray, size: int, at: np.ndarray, sums: np.ndarray
     n = size - shingle + 1
     if sums is None:
         sums = bit_sums(shingle_hashes(hashes, shingle), n)
-    ones = sums[at + n] - sums[at]
+    return packed(sums[at + n] - sums[at], n)
+
+
+def packed(ones: np.ndarray, n: int) -> np.ndarray:
+    """Fingerprints from how many of ``n`` shingles have each bit."""
     return np.packbits(ones > n // 2, axis=1, bitorder="little").view("<u8")[:, 0]
 
 
@@ -144,6 +151,11 @@ class Index:
         self.words = [[raw[words.start[k]:words.start[k] + words.size[k]] for k in range(a, b)]
                       for a, b in zip(words.first[:-1], words.first[1:])]
         self.shingles = [shingles(w) for w in self.words]
+        # Each item's shingle hashes, told apart by a salt, in one sorted array for each shingle length.
+        self.salt = mix(np.arange(1, len(items) + 1, dtype=np.uint64))
+        spans = [(i, words.hashes[a:b], min(SHINGLE, int(b - a))) for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])) if b > a]
+        self.known = {k: np.unique(np.concatenate([shingle_hashes(h, k) ^ self.salt[i] for i, h, n in spans if n == k]))
+                      for k in {n for _, _, n in spans}}
         by_size: dict[int, list[tuple]] = {}
         for item, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
             if b > a:
@@ -156,6 +168,15 @@ class Index:
             self.classes.append((size, MultiIndex(np.concatenate([f for *_, f in rows])), item,
                                  np.concatenate([s for _, s, _ in rows])))
 
+    def shared(self, runs: np.ndarray, at: np.ndarray, items: np.ndarray, k: int, n: int) -> np.ndarray:
+        """Share of the ``n`` shingles from each place on that the item there has."""
+        out, known = np.zeros(len(at)), self.known[k]
+        for a in range(0, len(at), max(1, STEP // n)):
+            part = slice(a, a + max(1, STEP // n))
+            keys = runs[at[part, None] + np.arange(n)] ^ self.salt[items[part], None]
+            out[part] = (known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys).mean(axis=1)
+        return out
+
     def candidates(self, words: Words) -> set[tuple[int, int, int]]:
         """(text, item, implied first word in the text) of every window near an item's sub-window."""
         out: set[tuple[int, int, int]] = set()
@@ -164,20 +185,29 @@ class Index:
         for a in range(0, len(owner), STEP):
             hashes = words.hashes[a:a + STEP + largest]
             sums: dict[int, np.ndarray] = {}
+            runs: dict[int, np.ndarray] = {}
             for size, index, items, shifts in self.classes:
                 if len(hashes) < size:
                     break
                 k = min(SHINGLE, size)
                 if k not in sums:
-                    sums[k] = bit_sums(shingle_hashes(hashes, k), largest)
-                at = np.arange(0, min(STEP, len(hashes) - size + 1), stride(size))
-                at = at[owner[a + at] == owner[a + at + size - 1]]
-                if stride(size) > 1:  # and the last window of every text
+                    runs[k] = shingle_hashes(hashes, k)
+                    sums[k] = bit_sums(runs[k], largest)
+                step, n = stride(size), size - k + 1
+                at = np.arange(0, min(STEP, len(hashes) - size + 1), step)
+                ones = sums[k][n:n + len(at) * step:step][:len(at)] - sums[k][:len(at) * step:step]
+                whole = owner[a + at] == owner[a + at + size - 1]
+                at, fps = at[whole], packed(ones, n)[whole]
+                if step > 1:  # and the last window of every text
                     last = words.first[1:] - size - a
-                    at = np.union1d(at, last[(words.counts >= size) & (last >= 0) & (last < STEP)])
+                    last = last[(words.counts >= size) & (last >= 0) & (last < STEP)]
+                    at, fps = np.append(at, last), np.append(fps, fingerprints(hashes, size, last, sums[k]))
                 if not len(at):
                     continue
-                query, row = index.within(fingerprints(hashes, size, at, sums[k]), RADIUS)
+                query, row = index.within(fps, RADIUS)
+                # Fingerprints that are near by chance: their windows share next to nothing with the item.
+                near = self.shared(runs[k], at[query], items[row], k, n) >= LEAST_SHARED
+                query, row = query[near], row[near]
                 text = owner[a + at[query]]
                 place = a + at[query] - words.first[text] - shifts[row]
                 out.update(zip(text.tolist(), items[row].tolist(), place.tolist()))
