@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 def test_query_matches_its_sql(spark, name):
     got = queries.QUERIES[name](spark, SF).toPandas()
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(queries.ORACLE[name]).df()
     columns = sorted(got.columns)
