@@ -119,3 +119,14 @@ def test_restarts_by_task_equal_the_distributed_passes(spark):
     many = SG.kmeans_restarts(df, list("abc"), configs, local_rows=0)
     for c in many:
         assert np.allclose(one[c][0], many[c][0]) and abs(one[c][1] / many[c][1] - 1) < 1e-9
+
+
+def test_passes_fill_the_cores_and_draw_once_a_seed(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    assert SG.partitions(spark, 900_000) % cores == 0 and SG.partitions(spark, 5_400_000) >= 27
+    drawn, step = [], SG._seed_step
+    monkeypatch.setattr(SG, "_seed_step", lambda f, i, todo, *rest: drawn.append(len(todo)) or step(f, i, todo, *rest))
+    df = spark.createDataFrame([(i, float(i % 7), float(i * i % 11)) for i in range(1, 60)], "id_cliente long, a double, b double")
+    configs = [(k, 29 + i) for k in (2, 3, 4) for i in range(2)]
+    SG.kmeans_restarts(df, ["a", "b"], configs, local_rows=0)
+    assert drawn == [2, 2, 2, 2]  # one draw a seed and step; one a restart before: 6, 6, 4, 2
