@@ -148,3 +148,24 @@ def test_classifier_edges(spark):
 def test_sample_of_labels_is_bounded(spark, n):
     d, labels = common.documents(spark, SF), common.table(spark, SF, "labels")
     assert quality.train(d, labels, max_labelled=n)["cut"] is not None
+
+
+def test_every_labelled_row_is_fitted_on(spark, monkeypatch):
+    """More rows than a group holds, repeated ones and a rare class: mean, threshold and weights are those of all rows."""
+    rng = np.random.default_rng(8)
+    d = quality.ratios(features.count([""])).shape[1]
+    x = np.round(rng.normal(size=(300, d)), 3)
+    y = (x @ np.linspace(-1, 1, d) + rng.normal(size=300) > -3.5).astype(int)
+    rows = [(int(a), b.tolist(), float(1 + i % 3)) for i, (a, b) in enumerate(zip(y, x))]
+    df = spark.createDataFrame(rows, "y int, x array<double>, c double").repartition(3)
+    times = np.arange(300) % 3 + 1
+    whole = quality.fit(np.repeat(x, times, axis=0), np.repeat(y, times))
+    got = quality.fit_rows(df)  # one group
+    for k in ("mean", "scale", "w", "cut", "slope"):
+        assert np.allclose(whole[k], got[k], atol=1e-6)
+    monkeypatch.setattr(quality, "GROUP", 40)
+    groups = quality.dealt(df, 300, int((y == 0).sum()), 0).collect()
+    assert len(groups) == 8 and {tuple(r.x) for g in groups for r in g.rows} == {tuple(r) for r in x.tolist()}
+    assert all({r.y for r in g.rows} == {0, 1} for g in groups)  # the rare class is in every group
+    values = spark.createDataFrame([(float(v), 2.0) for v in rng.permutation(500)], "s double, c double")
+    assert [quality.order_statistic(values, k, few=5) for k in (0, 1, 2, 501, 998, 999)] == [0, 0, 1, 250, 499, 499]
