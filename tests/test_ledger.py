@@ -1,4 +1,5 @@
 import json
+from threading import Barrier
 
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
@@ -92,3 +93,25 @@ def test_a_model_is_recorded_when_it_is_whole(spark, tmp_path):
     first = ledger.model("production", fit)
     assert isinstance(first, PipelineModel) and isinstance(ledger.model("production", fit), PipelineModel) and len(calls) == 1
     assert json.loads(shared.read(spark, f"{ledger.folder}/production.json"))["path"].startswith(ledger.folder)
+
+
+def test_both_refits_run_at_once(spark, tmp_path):
+    rows, ledger = table(spark), L.FitLedger(spark, "t", spark.range(1), root=str(tmp_path))
+    everything = rows.unionByName(rows.where("fold = 0"))
+    plain, met, fitted = candidates()[0], Barrier(2, timeout=60), []
+
+    class Meeting:
+        def copy(self, pm):
+            return self
+
+        def fit(self, df):  # each refit waits until the other has begun
+            met.wait()
+            fitted.append(df.count())
+            return plain.pipeline.fit(df)
+
+    for k in range(5):
+        ledger.record("lin", "ols", k, 0.5)
+    found = M.select(rows, everything, [M.Candidate("lin", Meeting(), [{}], lambda pm: "ols")], M.r2_evaluator("y"), 5, ledger)
+    assert sorted(fitted) == [rows.count(), everything.count()]
+    for model, df in ((found.holdout_model, rows), (found.production_model, everything)):
+        assert list(model.stages[-1].coefficients) == list(plain.pipeline.fit(df).stages[-1].coefficients)
