@@ -16,6 +16,7 @@ from orbita.sources import shared
 
 @pytest.fixture()
 def small_blocks(monkeypatch):
+    monkeypatch.setattr(FO, "DEEP", 2)
     monkeypatch.setattr(FO, "DEEP_BLOCK", 2)
 
 
@@ -26,7 +27,7 @@ def rows(spark):
 
 
 def forest(kind, label, trees):
-    rf = kind(featuresCol="v", labelCol=label, seed=3, maxDepth=12, numTrees=trees, cacheNodeIds=True)
+    rf = kind(featuresCol="v", labelCol=label, seed=3, maxDepth=3, numTrees=trees, cacheNodeIds=True)
     return Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="v"), rf])
 
 
